@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from linkmill.llm.decontaminate import op10_decontamination
+from linkmill.llm.packing import op8_packing
 from linkmill.llm.quality import op5_quality
+from linkmill.llm.token_counts import op3_token_counts
 from linkmill.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op5_quality": op5_quality}
+    return {
+        "op1_toxicity": op1_toxicity,
+        "op3_token_counts": op3_token_counts,
+        "op5_quality": op5_quality,
+        "op8_packing": op8_packing,
+        "op10_decontamination": op10_decontamination,
+    }
 
 
 def oracle_sql() -> dict:
