@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from linkmill.llm.audio import op4_audio
 from linkmill.llm.decontaminate import op10_decontamination
+from linkmill.llm.licenses import op6_license_scan
 from linkmill.llm.packing import op8_packing
 from linkmill.llm.quality import op5_quality
 from linkmill.llm.token_counts import op3_token_counts
@@ -13,7 +15,9 @@ def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_token_counts": op3_token_counts,
+        "op4_audio": op4_audio,
         "op5_quality": op5_quality,
+        "op6_license_scan": op6_license_scan,
         "op8_packing": op8_packing,
         "op10_decontamination": op10_decontamination,
     }
