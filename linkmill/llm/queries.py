@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linkmill.llm.audio import op4_audio
 from linkmill.llm.decontaminate import op10_decontamination
+from linkmill.llm.jaccard_join import op9_jaccard_join
 from linkmill.llm.licenses import op6_license_scan
 from linkmill.llm.packing import op8_packing
 from linkmill.llm.quality import op5_quality
@@ -23,6 +24,7 @@ def queries() -> dict:
         "op6_license_scan": op6_license_scan,
         "op7_secret_scan": op7_secret_scan,
         "op8_packing": op8_packing,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_decontamination": op10_decontamination,
     }
 
