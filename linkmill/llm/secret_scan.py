@@ -98,16 +98,24 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redacted(docs: DataFrame, columns: list[str], owner: str = "source", owners: int = OWNERS) -> DataFrame:
-    """The columns, with candidates cut out of the texts: [SECRET] for live ones, [EXAMPLE] for others."""
-    found = cut(candidates(docs, owner, tuple(c for c in columns if c != "doc_id")).withColumn("__row", F.monotonically_increasing_id()))
+    """The columns, with candidates cut out of the texts: [SECRET] for live ones, [EXAMPLE] for others. n_chars, if it is
+    among the columns, follows. Texts without a match go through as they are; only the others are kept and joined."""
+    has = F.lit(False)
+    for p in PATTERNS:
+        has = has | F.coalesce(F.col("text").rlike(p), F.lit(False))
+    found = cut(candidates(docs.where(has), owner, tuple(c for c in columns if c != "doc_id")).withColumn("__row", F.monotonically_increasing_id()))
 
     def step(state: Column, s: Column) -> Column:
         gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
         mark = F.when(F.array_contains("live", s), "[SECRET]").otherwise("[EXAMPLE]")
         new = s["end"] > state["at"]  # a span inside of one before it is gone already
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(new, F.concat(state["out"], gap, F.when(s["start"] >= state["at"], mark).otherwise(""))).otherwise(state["out"]).alias("out"))
+        out = F.when(new, F.concat(state["out"], gap, F.when(s["start"] >= state["at"], mark).otherwise(""))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
     rest = lambda t: F.concat(t["out"], F.substring(F.col("text"), t["at"] + 1, F.length("text")))
-    text = F.when(F.size("base") > 0, F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)).otherwise(F.col("text"))
-    clean = classified(found, owners).withColumn("text", text)
-    return clean.select(*(F.col(f"`{c}`") for c in columns))
+    text = F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
+    clean = classified(found, owners).withColumn("text", F.when(F.size("base") > 0, text).otherwise(F.col("text")))
+    if "n_chars" in columns:
+        clean = clean.withColumn("n_chars", F.when(F.size("base") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    names = [F.col(f"`{c}`") for c in columns]
+    return docs.where(~has).select(*names).unionByName(clean.select(*names))
