@@ -18,6 +18,7 @@ of the input are not read, so their names cannot clash.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 
@@ -29,39 +30,42 @@ from linkmill.llm._base import cut, map_batches, table
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Words that a worker remembers the ids of.
-CACHE = 400_000
-#: Text on which white space always separates tokens and letter case is mapped letter by letter.
-FAST = re.compile("[\t\n\r -~¡-ſ]*")
-SLOW = re.compile("[²³¹¼½¾ªºµİ]|<\\|")
+#: Pre-tokens that a worker remembers the ids of, in two generations of half as many each.
+CACHE = 1_200_000
+#: Text of letters on which all Unicode versions agree: there the pre-tokens are those of PIECE, whatever stands between them.
+FAST = re.compile("[\t\n\r -~¡-©«-±´¶-¸»¿-įı-ſ]*")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
 
 
 class Encoder:
-    """Ids of whole texts as the library gives them; words between white space are remembered as packed ids."""
+    """Ids of whole texts as the library gives them. Pre-tokens are encoded independently, so each is encoded once and its
+    packed ids are remembered; other text goes to the library as a whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if FAST.fullmatch(text) is None or SLOW.search(text):
+        if "<|" in text or FAST.fullmatch(text) is None:
             return self.pack(self.library.encode(text, add_special_tokens=False).ids)
-        words = text.split()
-        known = self.words
-        found = list(map(known.get, words))
+        pieces = PIECE.findall(text.lower())
+        found = list(map(self.young.get, pieces))
         if None in found:
-            if len(known) > CACHE:
-                known.clear()
-            new = list({w for w, f in zip(words, found, strict=True) if f is None})
-            own = dict(zip(new, (self.pack(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-            known |= own
-            found = [own[w] if f is None else f for w, f in zip(words, found, strict=True)]
+            lost = {p for p, f in zip(pieces, found, strict=True) if f is None}
+            own = {p: f for p in lost if (f := self.old.get(p)) is not None}
+            new = [p for p in lost if p not in own]
+            own.update(zip(new, (self.pack(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            if len(self.young) + len(own) > CACHE // 2:
+                self.young, self.old = {}, self.young
+            self.young.update(own)
+            found = [own[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
         return b"".join(found)
 
 
@@ -112,18 +116,18 @@ def _arrow(x):
     return pa.array(x)
 
 
-def best_configuration(prices: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+def best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
     """Copies of each length in the configuration of highest price, by dynamic programming over the capacity.
 
     best[c] is the highest price that fits c; a length may be used again and again (unbounded knapsack), which pricing
     allows; copies beyond the histogram are cut back by the rounding."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        k = int(np.searchsorted(lengths, c, "right"))
         best[c] = best[c - 1]
-        if k:
+        if k := fits[c]:
             value = best[c - lengths[:k]] + prices[:k]
-            j = int(np.argmax(value))
+            j = value.argmax()
             if value[j] > best[c]:
                 best[c], pick[c] = value[j], j
     copies, c = np.zeros(len(lengths), np.int64), capacity
@@ -136,34 +140,54 @@ def best_configuration(prices: np.ndarray, lengths: np.ndarray, counts: np.ndarr
     return copies
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 300, step: float = 0.5) -> list[tuple[np.ndarray, float]]:
-    """Configurations (copies of each length) and how often each is used, from multiplicative weights.
-
-    Prices are weights over counts. A round uses the best configuration as often as its scarcest length allows (a width-free
-    step), and lowers the weight of each length by the part of its need that this covered."""
-    weight = np.ones(len(lengths)) * lengths / capacity
-    need = counts.astype(float)
-    covered, used = np.zeros(len(lengths)), []
-    for _ in range(rounds):
-        left = np.maximum(need - covered, 0)
-        if (left < 1).all():
-            break
-        prices = np.where(left >= 1, weight, 0.0)
-        copies = best_configuration(prices, lengths, counts, capacity)
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 400, rate: float = 20.0, step: float = 0.2) -> list[tuple[np.ndarray, float]]:
+    """(configuration, number of sequences) of a fractional cover of the counts, by multiplicative weights.
+
+    The weight of a length falls exponentially in how much of its count is covered; its price is weight over count. Each
+    round takes the configuration of highest price, as often as covers `step` of the count of its scarcest length. At the
+    end the numbers are scaled so that the least covered length is covered."""
+    need, covered, used = counts.astype(float), np.zeros(len(lengths)), {}
+    done = 0
+    while done < rounds or covered.min() <= 0:
+        copies = best_configuration(np.exp(-rate * (covered - covered.min())) / need, lengths, capacity)
+        on = copies > 0
+        times = float((need[on] / copies[on]).min()) * step
+        key = tuple(copies.tolist())
+        used[key] = used.get(key, 0.0) + times
+        covered += times * copies / need
+        done += 1
+    return [(np.array(c), t / covered.min()) for c, t in sorted(used.items(), key=lambda x: (-x[1], x[0]))]
+
+
+#: Up to so many distinct lengths the program is solved as such; beyond it, prices come from classes of lengths.
+CLASSES = 64
+
+
+def prices_of(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+    """Price of each length from the program over classes of lengths; a class counts as its longest length, and prices
+    run straight from one class to the next."""
+    share = (np.cumsum(counts) - counts) * CLASSES // counts.sum()
+    classes = np.unique(share)
+    longest = np.array([lengths[share == k].max() for k in classes])
+    total = np.array([counts[share == k].sum() for k in classes], float)
+    covered, mean = np.zeros(len(classes)), np.zeros(len(classes))
+    for _ in range(200):
+        price = np.exp(-20.0 * (covered - covered.min())) / total
+        copies = best_configuration(price, longest, capacity)
         on = copies > 0
-        if not on.any():
-            break
-        times = float(np.min(left[on] / copies[on]))
-        times = max(1.0, np.floor(times * step)) if times >= 1 else times
-        covered += times * copies
-        weight = weight * np.exp(-0.3 * np.minimum(1.0, times * copies / need))
-        weight /= weight.max()
-        used.append((copies, times))
-    return used
+        covered += float((total[on] / copies[on]).min()) * 0.2 * copies / total
+        mean += price / np.dot(price, copies)  # scaled so that no configuration is worth more than 1
+    return np.interp(lengths, longest, mean / 200)
 
 
 def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in one sequence, number of such sequences), which use up the histogram exactly."""
+    """(lengths in one sequence, number of such sequences), which use up the histogram exactly: the rounded solution of
+    the program with the rest best-fit, or all of it best-fit if that takes fewer sequences."""
+    plans = [_plan(lengths, counts, capacity, program) for program in (True, False)]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, program: bool, rounds: int = 400) -> list[tuple[tuple[int, ...], int]]:
     left = counts.astype(np.int64).copy()
     made: dict[tuple[int, ...], int] = {}
 
@@ -177,21 +201,35 @@ def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY) -> l
         own = np.zeros(len(lengths), np.int64)
         own[full[0]] = 1
         use(own, int(left[full[0]]))
-    if left.any():
+    if program and left.any():
         open_ = np.flatnonzero(left)
-        for copies, times in solve(lengths[open_], left[open_], capacity):
+        if len(open_) <= CLASSES:
+            solution = solve(lengths[open_], left[open_], capacity)
+        else:
+            solution = None
+            price = prices_of(lengths[open_], left[open_], capacity)
+        for k in range(rounds if solution is None else len(solution)):
+            if solution is None:  # price the lengths that are left; those just covered get cheaper
+                here = np.flatnonzero(left[open_])
+                if not len(here):
+                    break
+                copies = np.zeros(len(open_), np.int64)
+                copies[here] = best_configuration(price[here], lengths[open_][here], capacity)
+                times = int(left[open_].sum())
+            else:
+                copies, times = solution[k]
             config = np.zeros(len(lengths), np.int64)
             config[open_] = copies
             on = config > 0
-            times = min(int(times), int((left[on] // config[on]).min()))  # rounded down, never beyond what is left
+            most = int((left[on] // config[on]).min())
+            times = min(int(times), most if solution is not None else max(1, most // 2) if most else 0)  # rounded down
             if times > 0:
                 use(config, times)
-    while left.any():  # best-fit, longest first, of what rounding left; a pattern is used as often as it fits
+            if solution is None:
+                price = price * np.exp(-0.02 * copies / np.maximum(copies.sum(), 1)) if times else price * np.where(copies > 0, 0.9, 1)
+    while left.any():  # what is left, best-fit: the longest that fits goes first
         config, room = np.zeros(len(lengths), np.int64), capacity
-        while True:
-            fits = np.flatnonzero((left - config > 0) & (lengths <= room))
-            if not len(fits):
-                break
+        while len(fits := np.flatnonzero((left > config) & (lengths <= room))):
             config[fits[-1]] += 1
             room -= int(lengths[fits[-1]])
         on = config > 0
