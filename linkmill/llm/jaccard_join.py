@@ -108,19 +108,18 @@ def signature(s: np.ndarray) -> int | None:
     return total - (1 << 64) if total >> 63 else total
 
 
-def prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first shingles of a set: one of them is in any set that reaches the threshold with it."""
+def prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set, those that aren't common and those that are: one of them is in any set that reaches
+    the threshold with it."""
     n = len(s)
     size = n - -(-n * percent // 100) + 1 if n else 0
     if not len(common):
-        return s[:size]
+        return s[:size], s[:0]
     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
     known = common[at] == s
     rare = s[~known][:size]
-    if len(rare) == size:
-        return rare
     rest, count = s[known], often[at[known]]
-    return np.concatenate((rare, rest[np.lexsort((rest, count))][: size - len(rare)]))
+    return rare, rest[np.lexsort((rest, count))][: size - len(rare)]
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -208,20 +207,55 @@ def dual_join(a: SignatureTree, b: SignatureTree, percent: int = PERCENT):
 
 
 def block_pairs(sigs: np.ndarray, sizes: np.ndarray, maps: list[bytes], components: np.ndarray, parts: np.ndarray, i: int, j: int, percent: int = PERCENT):
-    """Pairs of a block between its parts i and j (or within i), by trees over bitmaps of one width."""
-    width = max(8, min(map(len, maps)))
-    m = np.frombuffer(b"".join(fold(v, width) for v in maps), np.uint64).reshape(len(maps), -1)
-    own = parts == i
-    a = SignatureTree(sizes[own], m[own], components[own]) if own.any() else None
-    sa = sigs[own]
-    if i == j:
-        b, sb = a, sa
-    else:
-        own = parts == j
-        b, sb = (SignatureTree(sizes[own], m[own], components[own]) if own.any() else None), sigs[own]
-    if a is not None and b is not None:
-        for p, q in dual_join(a, b, percent):
-            yield int(sa[p]), int(sb[q])
+    """Pairs of a block between its parts i and j (or within i). Trees hold bitmaps of one width; sets that can reach the
+    threshold have bitmaps of the same width or of neighbouring ones, where the wider are folded."""
+    widths = np.array([len(m) for m in maps])
+
+    def tree(part: int, width: int, to: int):
+        own = np.flatnonzero((parts == part) & (widths == width))
+        if not len(own):
+            return None
+        m = np.frombuffer(b"".join(fold(maps[k], to) for k in own), np.uint64).reshape(len(own), -1)
+        return SignatureTree(sizes[own], m, components[own]), sigs[own]
+
+    for w in np.unique(widths).tolist():
+        a, b = tree(i, w, w), tree(j, w, w)
+        joins = [(a, a if i == j else b), (a, tree(j, 2 * w, w))]
+        if i != j:
+            joins.append((tree(i, 2 * w, w), b))
+        for x, y in joins:
+            if x is not None and y is not None:
+                for p, q in dual_join(x[0], y[0], percent):
+                    yield int(x[1][p]), int(y[1][q])
+
+
+class BlockStream:
+    """Rows (token, sig, n) that come sorted, batch after batch, to rows (token, sig, n, pivot, m) of blocks of two nodes
+    and more. Of a block, the first row alone is remembered."""
+
+    def __init__(self):
+        self.token = self.sig = self.pivot = self.m = None
+        self.sent = False  # whether the block's pivot has gone out
+
+    def take(self, token: np.ndarray, sig: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        if not len(token):
+            return [token[:0]] * 5
+        goes_on = token[0] == self.token
+        first = np.concatenate(([not goes_on], token[1:] != token[:-1]))
+        copy = np.concatenate(([goes_on and sig[0] == self.sig], (token[1:] == token[:-1]) & (sig[1:] == sig[:-1])))
+        start = np.maximum.accumulate(np.where(first, np.arange(len(token)), -1))  # -1: in the block that goes on
+        pivot = np.where(start >= 0, sig[start], self.pivot or 0)
+        m = np.where(start >= 0, n[start], self.m or 0)
+        later = ~first & ~copy
+        starts = np.unique(start[later])
+        own = starts[starts >= 0]
+        out = [[token[own], sig[own], n[own], sig[own], n[own]], [x[later] for x in (token, sig, n, pivot, m)]]
+        grew = bool(len(starts)) and starts[0] < 0
+        if grew and not self.sent:
+            out.append([np.array([x]) for x in (self.token, self.pivot, self.m, self.pivot, self.m)])
+        self.sent = (self.sent or grew) if start[-1] < 0 else bool(start[-1] in own)
+        self.token, self.sig, self.pivot, self.m = int(token[-1]), int(sig[-1]), int(pivot[-1]), int(m[-1])
+        return [np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True)]
 
 
 # Plans
@@ -245,7 +279,7 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, sig, prefix and bitmap of every row."""
+    """doc_id, n, sig, bitmap and the two parts of the prefix of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(_common(docs, width))
 
     def make():
@@ -255,12 +289,13 @@ def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = [shingle_set(t, width) for t in part.column(1).to_pylist()]
-                yield [part.column(0), list(map(len, sets)), list(map(signature, sets)), [prefix(s, common, often, percent).astype(np.int64) for s in sets], list(map(bitmap, sets))]
+                prefixes = [prefix(s, common, often, percent) for s in sets]
+                yield [part.column(0), list(map(len, sets)), list(map(signature, sets)), list(map(bitmap, sets)), *([p[k].astype(np.int64) for p in prefixes] for k in (0, 1))]
 
         return work
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n long, sig long, prefix array<long>, map binary", make)
+    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n long, sig long, map binary, rare array<long>, common array<long>", make)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -319,6 +354,25 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _blocks(digests: DataFrame) -> DataFrame:
+    """token, sig, n, and pivot and m (signature and size of the block's smallest node) of blocks of two nodes and more.
+
+    Rows of rare shingles are dealt and sorted by (shingle, signature) once and streamed: the first row of a block is its
+    pivot, copies follow each other, and blocks of one node vanish. Common shingles, which copies of one text or a shared
+    passage may have in a third of all rows, are counted with partial sums and joined, so that their blocks can be split."""
+    row = lambda c: digests.select(F.explode(c).alias("token"), "sig", "n")
+    n = int(digests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def make():
+        stream = BlockStream()
+        return lambda batch: iter([stream.take(*(c.to_numpy() for c in batch.columns))])
+
+    rare = map_batches(row("rare").repartition(n, "token").sortWithinPartitions("token", "sig"), ["token", "sig", "n"], "token long, sig long, n long, pivot long, m long", make)
+    common = row("common").distinct()
+    counted = common.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("sig", "n")).alias("p")).where("k > 1").select("token", F.col("p.sig").alias("pivot"), F.col("p.n").alias("m"))
+    return rare.unionByName(common.join(counted, "token").select("token", "sig", "n", "pivot", "m"))
+
+
 def _pivot_pairs(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of each node with the first node of its block, that sizes and bitmaps allow."""
     close = (F.least("n", "m") * 100 >= percent * F.greatest("n", "m")) & (F.col("sig") != F.col("pivot"))
@@ -339,9 +393,9 @@ def _pivot_pairs(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 
 def _tree_pairs(blocks: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs in blocks of several components, from dual walks of signature trees."""
-    rows = blocks.where("size > 2").select("token", "sig", "size").join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    mixed = rows.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
-    rows = rows.join(mixed, "token", "left_semi").join(nodes.select("sig", "n", "map"), "sig")
+    rows = blocks.select("token", "sig").join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    mixed = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("size > 2 and c0 <> c1").select("token", "size")
+    rows = rows.join(mixed, "token").join(nodes.select("sig", "n", "map"), "sig")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("sig"), parts.cast("long")).cast("int"))
     # a row goes to each pair of parts that has its own part
@@ -404,10 +458,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     docs = docs.select("doc_id", "text")
     digests = cut(_digests(docs, width, percent))
     full = digests.where("n > 0")
-    nodes = cut(full.groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("map").alias("map"), F.min("doc_id").alias("first"), F.count("*").alias("copies")))
-    tokens = nodes.select(F.explode("prefix").alias("token"), "sig", "n")
-    groups = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct("sig", "n")).alias("p")).where("size > 1").select("token", "size", F.col("p.sig").alias("pivot"), F.col("p.n").alias("m"))
-    blocks = cut(tokens.join(groups, "token"))
+    nodes = cut(full.groupBy("sig").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.min("doc_id").alias("first"), F.count("*").alias("copies")))
+    blocks = cut(_blocks(full))
     links = cut(_verified(cut(_pivot_pairs(blocks, nodes, percent)), docs, width, percent))
     labels = cut(components(links))
     rest = cut(_tree_pairs(blocks, nodes, labels, percent))
