@@ -439,7 +439,7 @@ _ALIAS = S.w(S.NORM, S.TRUTH, """tp AS (SELECT a.country, a.parts[greatest(len(a
     "oc AS (SELECT place AS variant, count(*) FILTER (place = l) AS other_last, count(*) AS occ FROM (SELECT unnest(list_distinct(t2)) AS place, t2[-1] AS l FROM tp) GROUP BY place)",
     "co AS (SELECT variant, canonical, country, count(*) AS n FROM (SELECT country, variant, unnest(list_distinct(t1)) AS canonical FROM (SELECT country, t1, unnest(list_filter(list_distinct(t2), lambda x: NOT list_contains(t1, x))) AS variant FROM tp)) GROUP BY ALL)",
     "canon AS (SELECT place AS canonical, s1_last FROM s1c WHERE s1_last >= 2 AND s1_last / s1_any::DOUBLE >= 0.5)", "city AS (SELECT place FROM s1c WHERE s1_any >= 2 AND s1_last / s1_any::DOUBLE < 0.5)",
-    "tot AS (SELECT variant, canonical, sum(n)::BIGINT AS count, max_by(country, n * 1000 + ascii(country)) AS country FROM co GROUP BY ALL)")
+    "tot AS (SELECT variant, canonical, sum(n)::BIGINT AS count, max_by(country, lpad(n::VARCHAR, 12, '0') || country) AS country FROM co GROUP BY ALL)")
 
 
 def _pairs(spark, sf_dir):
