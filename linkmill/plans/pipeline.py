@@ -91,7 +91,7 @@ class Run:
     def blocking(self, split: str, shards: list[int] | None = None, cap: int = vocab.BLOCK_CAP, prefilter_k: int = vocab.PREFILTER_K, top_k: int = vocab.TOP_K) -> dict:
         norm, ids = self.read(f"norm/{split}"), self.ids(split, shards)
         found = candidates.candidates(norm, cap, prefilter_k, top_k, ids.select("s1_id")).join(ids.select("s1_id", "shard"), "s1_id")
-        self.write(found, f"cand/{split}", partition_by=["shard"])
+        self.write(found, f"cand/{split}", partition_by="shard", parts=shards)
         report = candidates.blocking_report(norm, readers.read_shards(self.spark, f"{self.work}/cand/{split}", shards), cap)
         if split == "train":
             report["candidates"] = self.evaluate(shards)
@@ -101,7 +101,7 @@ class Run:
         cand = readers.read_shards(self.spark, f"{self.work}/cand/{split}", shards)
         shard_of = cand.select("s1_id", "shard").distinct()
         rows = features.features(cand.drop("shard"), self.read(f"norm/{split}"), self.read("gt_pairs") if split == "train" else None)
-        self.write(rows.join(shard_of, "s1_id"), f"feat/{split}", partition_by=["shard"])
+        self.write(rows.join(shard_of, "s1_id"), f"feat/{split}", partition_by="shard", parts=shards)
         done = self.read(f"feat/{split}")
         report = {"pairs": done.count()}
         if split == "train":

@@ -553,5 +553,5 @@ def src_multi_file(spark, sf_dir):
 def src_shards(spark, sf_dir):
     path = scratch(spark, "shards")
     rows = R.rarity_candidates(spark, sf_dir).select("s1_id", "other_id", (F.length("s1_id") % 4).alias("shard"))
-    writers.write_parquet(rows, path, partition_by=["shard"])
+    writers.write_parquet(rows, path, partition_by="shard")
     return readers.read_shards(spark, path, [1, 2])

@@ -14,18 +14,28 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished table or file is there."""
     fs, p = _path(spark, path)
     return fs.exists(p) and (fs.getFileStatus(p).isFile() or fs.exists(_path(spark, f"{path}/_SUCCESS")[1]))
 
 
-def write_parquet(df: DataFrame, path: str, force: bool = False, partition_by: list[str] | None = None) -> bool:
-    """Written as a whole or not at all; an existing table is kept unless forced. Whether it was written."""
-    if not force and exists(df.sparkSession, path):
+def write_parquet(df: DataFrame, path: str, force: bool = False, partition_by: str | None = None, parts: list | None = None) -> bool:
+    """Written as a whole or not at all; an existing table is kept unless forced. Whether it was written. With parts, the
+    table is written and kept by those values of its partition column; its other parts stay as they are."""
+    spark = df.sparkSession
+    there = exists(spark, path) if parts is None else all(_exists(spark, f"{path}/{partition_by}={v}") for v in parts)
+    if there and not force:
         return False
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by and not force else "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if parts is None else "dynamic")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if not exists(spark, path):
+        write_text(spark, f"{path}/_SUCCESS", "")
     return True
 
 
