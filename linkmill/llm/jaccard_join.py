@@ -7,11 +7,11 @@ sample decides about speed only, never about results. Blocks are the nodes that
 blocks takes two rounds:
 
 1. Each node is compared with its block's smallest node. Of a block of two, that is the only pair.
-2. Blocks that still hold several components are searched with signature trees: leaves are nodes' bitmaps, inner nodes hold
-   the union of the bitmaps below them, the range of set sizes and the component if there is one. Two trees are walked
-   together; a pair of tree nodes is dropped when the sizes can't reach t, when both lie in one component, or when the
-   largest overlap that the bitmaps allow is too small. Blocks of over BLOCK nodes are cut, and each pair of parts is a
-   task of its own.
+2. Blocks with the same smallest node are one cluster. Clusters that still hold several components are searched with
+   signature trees: leaves are nodes' bitmaps, inner nodes hold the union of the bitmaps below them, the range of set
+   sizes and the component if there is one. Two trees are walked together; a pair of tree nodes is dropped when the sizes
+   can't reach t, when both lie in one component, or when the largest overlap that the bitmaps allow is too small.
+   Clusters of over BLOCK nodes are cut, and each pair of parts is a task of its own.
 
 Pairs that the bitmaps allow are decided on the whole sets. Components come from alternating star contractions of the
 links. Nothing unbounded is collected: blocks meet their counts by joins that can be split where they are skewed, rows of
@@ -123,8 +123,9 @@ def prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int =
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit for each shingle, in a power of two of bits, about as many as shingles."""
-    bits = 1 << max(6, min(20, math.ceil(math.log2(len(s) + 1))))
+    """A bit for each shingle, in a power of two of bits, 4 to 8 times as many as shingles: few bits of a shingle that one
+    of two sets lacks are set by another one, so the bound on their overlap is close."""
+    bits = 1 << max(6, min(22, math.ceil(math.log2(4 * (len(s) + 1)))))
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -330,7 +331,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
-    sets = cut(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), width))
+    ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    sets = cut(_sets(docs, ends, width))
     both = pairs.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")), "a")
     inter = F.size(F.array_intersect("x", "y"))
     return both.where(100 * inter >= percent * (F.size("x") + F.size("y") - inter)).select("a", "b")
@@ -392,43 +394,51 @@ def _pivot_pairs(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 
 
 def _tree_pairs(blocks: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs in blocks of several components, from dual walks of signature trees."""
-    rows = blocks.select("token", "sig").join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    mixed = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("size > 2 and c0 <> c1").select("token", "size")
-    rows = rows.join(mixed, "token").join(nodes.select("sig", "n", "map"), "sig")
+    """Pairs of nodes of a block, in different components, that sizes and bitmaps allow: by dual walks of signature trees.
+
+    Blocks with the same pivot are one cluster, so that a node's bitmap goes to each of its clusters once and not to each of
+    its blocks. A pair that several clusters hold comes from the first of them only."""
+    rows = blocks.select("pivot", "sig").distinct().join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    mixed = rows.groupBy("pivot").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("size > 2 and c0 <> c1").select("pivot", "size")
+    rows = rows.join(mixed, "pivot")
+    clusters = rows.groupBy("sig").agg(F.collect_list("pivot").alias("clusters"))  # at most as many as its prefix has shingles
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("sig"), parts.cast("long")).cast("int"))
+    rows = rows.join(clusters, "sig").join(nodes.select("sig", "n", "map"), "sig").withColumn("part", F.pmod(F.xxhash64("sig"), parts.cast("long")).cast("int"))
     # a row goes to each pair of parts that has its own part
     pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")))
-    rows = rows.select("token", "sig", "n", "map", "component", "part", F.explode(pairs).alias("p")).select("*", "p.i", "p.j").drop("p")
+    rows = rows.select("pivot", "sig", "n", "map", "component", "part", "clusters", F.explode(pairs).alias("p")).select("*", "p.i", "p.j").drop("p")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    rows = rows.repartition(n, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
 
     def make():
-        held: list = []  # the rows of the block that the last batch ended in
+        held: list = []  # key and rows of the cluster that the last batch ended in
 
-        def solve(block):
-            sigs, sizes, maps, comps, parts = (list(x) for x in zip(*block[1], strict=True))
-            yield from block_pairs(np.array(sigs, np.int64), np.array(sizes, np.int64), maps, np.array(comps, np.int64), np.array(parts), block[0][1], block[0][2], percent)
+        def solve(key, block):
+            sigs, sizes, maps, comps, parts, clusters = (list(x) for x in zip(*block, strict=True))
+            of = {s: frozenset(c) for s, c in zip(sigs, clusters, strict=True)}
+            arrays = (np.array(x, np.int64) for x in (sigs, sizes))
+            for a, b in block_pairs(*arrays, maps, np.array(comps, np.int64), np.array(parts), key[1], key[2], percent):
+                if min(of[a] & of[b]) == key[0]:
+                    yield (a, b) if a < b else (b, a)
 
         def work(batch):
-            found = set()
+            found: list = []
             if batch is None:
-                if held:
-                    found.update(solve(held.pop()))
+                for key, block in held:
+                    found += solve(key, block)
             else:
                 columns = [c.to_pylist() for c in batch.columns]
-                for token, i, j, *row in zip(*columns, strict=True):
-                    if not held or held[0][0] != (token, i, j):
+                for pivot, i, j, *row in zip(*columns, strict=True):
+                    if not held or held[0][0] != (pivot, i, j):
                         if held:
-                            found.update(solve(held.pop()))
-                        held.append(((token, i, j), []))
+                            found += solve(*held.pop())
+                        held.append(((pivot, i, j), []))
                     held[0][1].append(row)
-            yield [[min(p) for p in found], [max(p) for p in found]]
+            yield [[p[0] for p in found], [p[1] for p in found]]
 
         return work
 
-    return _map_blocks(rows, ["token", "i", "j", "sig", "n", "map", "component", "part"], "a long, b long", make).distinct()
+    return _map_blocks(rows, ["pivot", "i", "j", "sig", "n", "map", "component", "part", "clusters"], "a long, b long", make).distinct()
 
 
 def _map_blocks(df: DataFrame, columns: list, ddl: str, make) -> DataFrame:
