@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts cross to Python some hundred at a time, so that neither side holds a whole partition of them at once. Workers
+    that share the driver's disk find this package where the driver found it; others need --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
 def map_batches(df: DataFrame, columns: list, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[list]]]) -> DataFrame:
     """mapInArrow over the named columns only. make() runs once a task and returns a function that yields lists of
     column values (in the order of ddl) for each batch."""
     schema = StructType.fromDDL(ddl)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)

@@ -15,8 +15,8 @@ blocks takes two rounds:
 
 Pairs that the bitmaps allow are decided on the whole sets. Components come from alternating star contractions of the
 links. Nothing unbounded is collected: blocks meet their counts by joins that can be split where they are skewed, rows of
-large classes find their component under salts, and the driver sees counts, the common shingles of the sample, and, up to
-WANTED of them, hashes of the sets to verify (beyond that, a join finds them).
+large classes find their component under salts, and the driver sees counts, the common shingles of the sample, and a bitmap
+of fixed size that tells which sets are worth fetching.
 
 Links between different sets are all found; within a component that is connected already, pairs aren't looked at. Nulls
 and texts without words have empty sets and are linked with nothing. Repeated rows share a component. A null doc_id takes
@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 from linkmill.llm._base import cut, map_batches, table
 
 WIDTH, PERCENT = 4, 85
-#: About so many documents decide which shingles are common, those of at least COMMON of them.
-ORDER_SAMPLE, COMMON = 4096, 3
+#: About so many documents decide which shingles are common, those of at least COMMON of them. Only hashes in the lowest
+#: LOW part of all are counted: the order goes by hash, so others are seldom among the first.
+ORDER_SAMPLE, COMMON, LOW = 32_768, 3, 0.35
 BLOCK = 1024
-#: Hashes of sets that are sent to the workers at once, 8 bytes each.
-WANTED = 2_000_000
+#: Logarithm of the bits of the sieve of wanted signatures: 2 MB.
+SIEVE = 24
 SALTS = 16
 #: Bytes of text that are hashed at once.
 PART = 1 << 20
@@ -270,7 +271,11 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < ORDER_SAMPLE)
 
     def make():
-        return lambda batch: iter([[[shingle_set(t, width).astype(np.int64) for t in batch.column(0).to_pylist()]]])
+        def low(t):
+            s = shingle_set(t, width)
+            return s[: np.searchsorted(s, np.uint64(int(LOW * 2**64)))].astype(np.int64)
+
+        return lambda batch: iter([[[low(t) for t in batch.column(0).to_pylist()]]])
 
     sets = map_batches(sample, ["text"], "s array<long>", make)
     rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toPandas()
@@ -299,13 +304,23 @@ def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n long, sig long, map binary, rare array<long>, common array<long>", make)
 
 
+def _sieve(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** SIEVE bits, whatever the number of signatures: the bit of each wanted one is set. It is put together
+    from words of 64 bits by partial sums, so the driver gets 2 ** (SIEVE - 6) rows at most."""
+    mask = (1 << SIEVE) - 1
+    words = wanted.select(F.expr(f"shiftright(sig & {mask}L, 6)").alias("i"), F.expr("shiftleft(1L, cast(sig & 63L as int))").alias("w")).groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
+    out = np.zeros(1 << (SIEVE - 6), np.uint64)
+    out[words["i"].to_numpy(np.int64)] = words["w"].to_numpy(np.int64).astype(np.uint64)
+    return out
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """sig and the whole set of each wanted signature, from another scan of the texts."""
-    n = wanted.count()
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.toPandas()["sig"].to_numpy(np.int64)) if n <= WANTED else None)
+    """sig and the whole set of each wanted signature, from another scan of the texts. The sieve keeps most other sets out
+    of the exchange; a join drops those that pass it."""
+    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
 
     def make():
-        own = shared.value
+        sieve = shared.value
 
         def work(batch):
             for at in range(0, batch.num_rows, 512):
@@ -313,10 +328,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 for t in batch.column(0).slice(at, 512).to_pylist():
                     s = shingle_set(t, width)
                     sig = signature(s)
-                    if sig is None:
-                        continue
-                    k = 0 if own is None else int(np.searchsorted(own, sig))
-                    if own is None or k < len(own) and own[k] == sig:
+                    if sig is not None and int(sieve[(sig & (1 << SIEVE) - 1) >> 6]) >> (sig & 63) & 1:
                         sigs.append(sig)
                         sets.append(s.astype(np.int64))
                 if sigs:
@@ -325,13 +337,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         return work
 
     sets = map_batches(docs, ["text"], "sig long, shingles array<long>", make)
-    sets = sets if n <= WANTED else sets.join(wanted, "sig", "left_semi")
-    return sets.groupBy("sig").agg(F.first("shingles").alias("shingles"))
+    return sets.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("shingles").alias("shingles"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
-    ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    ends = cut(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
     sets = cut(_sets(docs, ends, width))
     both = pairs.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")), "a")
     inter = F.size(F.array_intersect("x", "y"))
