@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm._base import cut, ensure_checkpoint_dir, table
-from linkmill.llm.decontaminate import contamination
+from linkmill.llm.decontaminate import contaminated_column
 from linkmill.llm.jaccard_join import jaccard_components
 from linkmill.llm.packing import pack
-from linkmill.llm.quality import quality_scores
+from linkmill.llm.quality import THRESHOLD, score_column
 from linkmill.llm.quality import train as train_quality
 from linkmill.llm.secret_scan import redacted
 
@@ -27,7 +27,7 @@ BROADCAST_IDS = 1_000_000
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     model = train_quality(docs, table(spark, sf_dir, "labels"))
-    return quality_scores(docs, model, keep=tuple(COLUMNS)).where("predicted = 1").select(*COLUMNS)
+    return docs.select(*COLUMNS).where(score_column(docs, model) >= THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"), keep=tuple(COLUMNS))
-    return found.where(F.size("spans") == 0).select(*COLUMNS)
+    return docs.select(*COLUMNS).where(~contaminated_column(docs, table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,10 +20,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmill.llm._base import map_batches, table
+from linkmill.llm._base import map_batches, small_batches, table
 from linkmill.llm._words import split_words
 
 WIDTH = 10
@@ -234,6 +235,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, kee
     return state
 
 
+def contaminated_column(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_chars: int = BLOCK_CHARS):
+    """Whether a text holds a window, as a column of docs; the other columns don't leave the JVM."""
+    out = F.lit(False)
+    small_batches(docs.sparkSession)
+    for block in _blocks(benchmark.select("item_id", "text"), block_chars):
+        rows = block.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text").collect()
+        shared = docs.sparkSession.sparkContext.broadcast(Windows([(r.i, r.text) for r in rows], width))  # at most block_chars
+
+        def run(texts: pd.Series, shared=shared) -> pd.Series:
+            hit, done, texts = [], 0, texts.tolist()
+            while done < len(texts):
+                shard, words = [], 0
+                while done < len(texts) and (not shard or words < SHARD_WORDS):
+                    shard.append(split_words(texts[done]))
+                    words += len(shard[-1])
+                    done += 1
+                hit += [bool(spans) for spans, _ in shared.value.find(shard)]
+            return pd.Series(hit, dtype=bool)
+
+        out = out | _boolean(run)(F.col("text"))
+    return out
+
+
+def _boolean(run):
+    return F.pandas_udf(lambda texts: run(texts), "boolean")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])

@@ -17,10 +17,11 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmill.llm._base import held_out, labelled_sample, map_batches, table
+from linkmill.llm._base import held_out, labelled_sample, map_batches, small_batches, table
 
 #: Bound on the labelled rows that the model is fitted on.
 TRAIN_ROWS = 20_000
@@ -193,6 +194,17 @@ def quality_scores(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), thr
     return map_batches(docs, [*(F.col(f"`{c}`") for c in keep), F.col("text").alias("__text")], f"{ddl}, score double, predicted int", make)
 
 
+def score_column(docs: DataFrame, model: Model, text: str = "text"):
+    """The score as a column of docs; the other columns don't leave the JVM."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.score(np.array([features(t) for t in texts], np.float64).reshape(-1, len(FEATURES))))
+
+    return F.pandas_udf(run, "double")(F.col(text))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality_scores(docs, train(docs, table(spark, sf_dir, "labels")))
