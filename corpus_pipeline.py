@@ -20,6 +20,8 @@ from linkmill.llm.quality import train as train_quality
 from linkmill.llm.secret_scan import redacted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates of the pipeline: words of a shingle, and percent of similarity.
+WIDTH, PERCENT = 5, 80
 #: Ids that are sent to all workers at once, 8 bytes each; beyond it they are joined.
 BROADCAST_IDS = 1_000_000
 
@@ -32,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id stays."""
-    found = jaccard_components(docs).where("n_shingles > 0 and doc_id is not null")
+    found = jaccard_components(docs, WIDTH, PERCENT).where("n_shingles > 0 and doc_id is not null")
     ids = found.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("first"), F.count("*").alias("rows"))
     state = cut(ids)
     gone, again = state.where("first = 0").select("doc_id"), state.where("first = 1 and rows > 1").select("doc_id")

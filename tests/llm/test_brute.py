@@ -176,8 +176,8 @@ def plain_components(data, width=4, percent=85):
     return sorted((d, len(sets[i]), least[root(i)]) for i, (d, _) in enumerate(data))
 
 
-@pytest.mark.parametrize("block", [4, 1024])
-def test_jaccard_components_are_exact(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,width,percent", [(4, 4, 85), (1024, 4, 85), (1024, 5, 80), (4, 2, 50)])
+def test_jaccard_components_are_exact(spark, monkeypatch, block, width, percent):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     random.seed(11)
     words = [f"w{i}" for i in range(400)]
@@ -192,8 +192,8 @@ def test_jaccard_components_are_exact(spark, monkeypatch, block):
             data.append((len(data) * 3 + 1, " ".join(copy)))
     data += [(2, ""), (5, None), (8, "solo"), (11, "SOLO"), (14, "solo solo")]
     docs = spark.createDataFrame([(d, t, None, None, None) for d, t in data], SCHEMA)
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs).collect())
-    assert got == plain_components(data)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, width, percent).collect())
+    assert got == plain_components(data, width, percent)
 
 
 @given(st.lists(st.tuples(st.integers(-3, 3), st.integers(-4, 4)), max_size=40), st.lists(st.integers(0, 40), max_size=6))

@@ -50,7 +50,7 @@ def test_pipeline_stages(spark, tmp_path, nasty):
             assert queries()  # the stage keeps one of each group:
             from linkmill.llm.jaccard_join import jaccard_components
 
-            assert jaccard_components(docs).where("doc_id <> component_id").count() == 0
+            assert jaccard_components(docs, c.WIDTH, c.PERCENT).where("doc_id <> component_id").count() == 0
         if name == "decontamination":
             from linkmill.llm.decontaminate import contamination
 
