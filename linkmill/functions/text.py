@@ -41,12 +41,16 @@ def name_norm(raw) -> Column:
     return basic_clean(F.regexp_replace(F.substring_index(_text(raw), "|", 1), URL_PARTS, " "))
 
 
-def name_core(norm: Column) -> Column:
-    """Without legal forms, fillers, honorifics and adjacent repeats; the whole name if nothing is left."""
+def name_words(norm: Column) -> Column:
+    """Words without legal forms, fillers and honorifics."""
     stop = F.array(*(F.lit(w) for w in vocab.NAME_STOP))
-    kept = F.filter(tokens(F.regexp_replace(norm, STOP_PHRASES, " ")), lambda t: ~F.array_contains(stop, t))
-    single = F.filter(kept, lambda t, i: (i == 0) | (t != F.coalesce(F.get(kept, i - 1), F.lit(""))))
-    core = F.array_join(single, " ")
+    return F.filter(tokens(F.regexp_replace(norm, STOP_PHRASES, " ")), lambda t: ~F.array_contains(stop, t))
+
+
+def name_core(norm: Column, words: Column) -> Column:
+    """The words without adjacent repeats; the whole name if nothing is left. `words` should be a column of its own, as each
+    word looks at the one before it."""
+    core = F.array_join(F.filter(words, lambda t, i: (i == 0) | (t != F.coalesce(F.get(words, i - 1), F.lit("")))), " ")
     return F.when(core == "", norm).otherwise(core)
 
 
@@ -78,23 +82,26 @@ def address_token(t: Column) -> Column:
     return F.coalesce(F.try_element_at(words_map(vocab.ADDRESS_WORDS), t), t)
 
 
-def address_fields(parts: Column, aliases: dict[str, str]) -> Column:
-    """For each part, a struct of its tokens (norm), those that don't name a region (core), and the region (admin).
+def address_words(parts: Column) -> Column:
+    """The words of each part."""
+    return F.transform(parts, tokens)
+
 
-    Regions are looked up on the last two parts, as whole parts without their numbers; parts of the word `null` count as
-    parts. A number in a region's part stays in core."""
+def address_admin(words: Column, aliases: dict[str, str]) -> Column:
+    """For each part, the region that it names, or null. Regions are looked up on the last two parts, as whole parts without
+    their numbers; parts of the word `null` count as parts."""
+    if not aliases:
+        return F.transform(words, lambda w: F.lit(None).cast("string"))
     table = words_map(aliases)
+    name = lambda w: F.array_join(F.filter(w, lambda t: ~is_number(t)), " ")
+    return F.transform(words, lambda w, i: F.when(i >= F.size(words) - 2, F.try_element_at(table, name(w))))
 
-    def field(part: Column, i: Column) -> Column:
-        words = tokens(part)
-        name = F.array_join(F.filter(words, lambda t: ~is_number(t)), " ")
-        found = F.try_element_at(table, name) if aliases else F.lit(None).cast("string")
-        admin = F.when((i >= F.size(parts) - 2) & (name != ""), found)
-        shown = F.filter(words, lambda t: t != "null")
-        core = F.filter(shown, lambda t: admin.isNull() | is_number(t))
-        return F.struct(F.transform(shown, address_token).alias("norm"), F.transform(core, address_token).alias("core"), admin.alias("admin"))
 
-    return F.transform(parts, field)
+def address_text(words: Column, admin: Column, core: bool) -> Column:
+    """All words in normal form; with core, without those that name a region (its numbers stay)."""
+    part = F.arrays_zip(words.alias("w"), admin.alias("a"))
+    shown = lambda x: lambda t: (t != "null") & (x["a"].isNull() | is_number(t)) if core else t != "null"
+    return F.array_join(F.flatten(F.transform(part, lambda x: F.transform(F.filter(x["w"], shown(x)), address_token))), " ")
 
 
 def numbers(norm: Column) -> Column:
