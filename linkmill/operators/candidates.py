@@ -18,29 +18,33 @@ GROUP = ["country", "bit", "key"]
 
 
 def _keys(kind: str) -> Column:
-    """Array of the distinct keys of one family."""
-    first, name, addr = F.col("addr_first_num"), T.tokens(F.col("name_core")), T.tokens(F.col("addr_core"))
-    letters = lambda n: F.filter(addr, lambda t: t.rlike("^[a-z]+$") & (F.length(t) >= n))
-    none = F.array().cast("array<string>")
+    """Array of the distinct keys of one family, from the columns that keys() prepares."""
+    first, none = F.col("addr_first_num"), F.array().cast("array<string>")
     with_number = lambda words: F.when(first != "", F.transform(F.array_distinct(words), lambda t: F.concat_ws("|", first, t))).otherwise(none)
     if kind == "K1":
-        return with_number(F.filter(name, lambda t: F.length(t) >= 2))
+        return with_number(F.filter("__name", lambda t: F.length(t) >= 2))
     if kind == "K2":
-        return with_number(letters(3))
-    if kind == "K3":  # the first words are taken, then made distinct
-        names = F.array_distinct(F.slice(F.filter(name, lambda t: F.length(t) >= 3), 1, 4))
-        places = F.array_distinct(F.slice(letters(4), 1, 6))
-        return F.flatten(F.transform(names, lambda x: F.transform(places, lambda y: F.concat_ws("|", x, y))))
+        return with_number(F.filter("__letters", lambda t: F.length(t) >= 3))
+    if kind == "K3":
+        return F.flatten(F.transform("__names", lambda x: F.transform("__places", lambda y: F.concat_ws("|", x, y))))
     return F.when(F.length("name_nospace") >= 5, F.array(F.substring("name_nospace", 1, 8))).otherwise(none)
 
 
 def keys(norm: DataFrame, families: tuple = tuple(vocab.KEY_BITS)) -> DataFrame:
-    """(entity_id, source, country, bit, key): one row for each record and key."""
+    """(entity_id, source, country, bit, key): one row for each record and key. Word lists are columns of their own, so that
+    they are computed once and not for each word that looks at them."""
+
     def family(k: str) -> Column:
         return F.transform(_keys(k), lambda x: F.struct(F.lit(vocab.KEY_BITS[k]).cast("byte").alias("bit"), x.alias("key")))
 
-    each = [family(k) for k in families]
-    return norm.select("entity_id", "source", "country", F.explode(F.concat(*each)).alias("k")).select("entity_id", "source", "country", "k.bit", "k.key")
+    words = norm.withColumns({"__name": T.tokens(F.col("name_core")), "__letters": F.filter(T.tokens(F.col("addr_core")), lambda t: t.rlike("^[a-z]+$"))})
+    # of the longer words the first are taken, then made distinct
+    words = words.withColumns({
+        "__names": F.array_distinct(F.slice(F.filter("__name", lambda t: F.length(t) >= 3), 1, 4)),
+        "__places": F.array_distinct(F.slice(F.filter("__letters", lambda t: F.length(t) >= 4), 1, 6)),
+    })
+    each = F.concat(*(family(k) for k in families))
+    return words.select("entity_id", "source", "country", F.explode(each).alias("k")).select("entity_id", "source", "country", "k.bit", "k.key")
 
 
 def group_sizes(all_keys: DataFrame) -> DataFrame:
