@@ -124,9 +124,9 @@ def prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int =
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit for each shingle, in a power of two of bits, 4 to 8 times as many as shingles: few bits of a shingle that one
-    of two sets lacks are set by another one, so the bound on their overlap is close."""
-    bits = 1 << max(6, min(22, math.ceil(math.log2(4 * (len(s) + 1)))))
+    """A bit for each shingle, in a power of two of bits, 8 to 16 times as many as shingles: few bits of a shingle that
+    one of two sets lacks are set by another one, so the bound on their overlap is close."""
+    bits = 1 << max(6, min(23, math.ceil(math.log2(8 * (len(s) + 1)))))
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
