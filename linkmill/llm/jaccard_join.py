@@ -6,7 +6,8 @@ shingles (prefix filtering); the order takes shingles that are common in a sampl
 sample decides about speed only, never about results. Blocks are the nodes that share such a shingle. The join of the
 blocks takes two rounds:
 
-1. Each node is compared with its block's smallest node. Of a block of two, that is the only pair.
+1. Each node is compared with its block's smallest node, and with another one that a hash picks. Of a block of two, that
+   is the only pair.
 2. Blocks with the same smallest node are one cluster. Clusters that still hold several components are searched with
    signature trees: leaves are nodes' bitmaps, inner nodes hold the union of the bitmaps below them, the range of set
    sizes and the component if there is one. Two trees are walked together; a pair of tree nodes is dropped when the sizes
@@ -481,12 +482,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     full = digests.where("n > 0")
     nodes = cut(full.groupBy("sig").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     blocks = cut(_blocks(full))
-    links = cut(_verified(cut(_pivot_pairs(blocks, nodes, percent)), docs, width, percent))
+    # beside the smallest node, another one, which differs from block to block, joins most of a group of near copies
+    other = blocks.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("sig", "token").alias("h"), "sig", "n")).alias("p")).where("k > 2").select("token", "p")
+    more = blocks.join(other, "token").select("sig", "n", F.col("p.sig").alias("pivot"), F.col("p.n").alias("m"))
+    links = cut(_verified(cut(_pivot_pairs(blocks.select("sig", "n", "pivot", "m").unionByName(more), nodes, percent)), docs, width, percent))
     labels = cut(components(links))
     rest = cut(_tree_pairs(blocks, nodes, labels, percent))
     if rest.head(1):
-        more = _verified(rest, docs, width, percent)
-        labels = components(links.unionByName(more))
+        found = labels.select(F.col("sig").alias("a"), F.col("component").alias("b"))
+        labels = components(found.unionByName(_verified(rest, docs, width, percent)))
     linked = nodes.select("sig", "first", "copies").join(labels, "sig")
     names = linked.groupBy("component").agg(F.min("first").alias("name"))
     by_sig = linked.join(names, "component").select("sig", "name", "copies")
