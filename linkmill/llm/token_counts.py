@@ -5,8 +5,8 @@ of that encoding. Entry i follows from an earlier one: of the vocabulary's token
 together with the last token before it, that is, the two stay as they are when their joint bytes are encoded. One pass
 thus gives the exact count of every prefix, so truncation and budget questions need no second encoding.
 
-Texts are cut where a run of white space begins, which no pre-token crosses; counts of such chunks are remembered, up to
-CACHE entries a worker. Text that holds the tokenizer's special strings, or controls on which regex dialects differ, is
+Texts are cut where a run of white space begins, which no pre-token crosses; counts of such chunks and of their pre-tokens are
+remembered, up to CACHE entries of either a worker. Text that holds the tokenizer's special strings, or controls on which regex dialects differ, is
 counted by the library itself.
 
 Null and empty texts have zero tokens. Repeated rows get equal counts; long texts are read whole. Other columns of the
@@ -55,6 +55,7 @@ class PrefixCounter:
         self.letter = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
         self.together: dict[tuple[str, str], bool] = {}
         self.counts: dict[str, int] = {}
+        self.words: dict[str, int] = {}
 
     def bytes_of(self, text: str) -> str:
         return text.encode("utf-8", "replace").decode("latin-1").translate(self.letter)
@@ -86,7 +87,7 @@ class PrefixCounter:
         for i in range(1, len(word) + 1):
             for j in range(max(0, i - self.longest), i):
                 token = word[j:i]
-                if token in vocab and last[j] is not None and (j or i) and (last[j] or not j) and fits(last[j], token):
+                if token in vocab and fits(last[j], token):
                     last.append(token)
                     count.append(count[j] + 1)
                     break
@@ -98,7 +99,15 @@ class PrefixCounter:
         """Tokens of one chunk."""
         if PLAIN.fullmatch(chunk) is None:
             return len(self.library.encode(chunk, add_special_tokens=False).ids)
-        return sum(self.prefixes(self.bytes_of(p))[-1] for p in PRETOKEN.findall(chunk))
+        total, words = 0, self.words
+        for p in PRETOKEN.findall(chunk):
+            n = words.get(p)
+            if n is None:
+                if len(words) > CACHE:
+                    words.clear()
+                n = words[p] = self.prefixes(self.bytes_of(p))[-1]
+            total += n
+        return total
 
     def remembered(self, chunk: str) -> int:
         n = self.counts.get(chunk)
