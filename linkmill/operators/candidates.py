@@ -78,6 +78,12 @@ def top(df: DataFrame, k: int, score: str) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= k).drop("__rank")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Dealt by s1_id to a fixed number of tasks: scoring costs far more time than the rows' bytes tell, which is what
+    adaptive execution would size tasks by. Windows over an s1_id need no further exchange."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1_id")
+
+
 def cheap_score(q, o) -> Column:
     """Half the names' token-set ratio, three tenths of the addresses', and a fifth for equal first numbers; 0 to 1."""
     s = scores([("token_set", q("name_core"), o("name_core")), ("token_set", q("addr_core"), o("addr_core"))])
@@ -89,7 +95,7 @@ def scored(found: DataFrame, norm: DataFrame) -> DataFrame:
     """Pairs with cheap_score; texts are joined here, late."""
     columns = ("name_core", "addr_core", "addr_first_num")
     side = lambda id_, p, where: norm.where(where).select(F.col("entity_id").alias(id_), *(F.col(c).alias(f"{p}_{c}") for c in columns))
-    full = found.join(side("s1_id", "q", "source = 1"), "s1_id").join(side("other_id", "o", "source <> 1"), "other_id")
+    full = spread(found.join(side("s1_id", "q", "source = 1"), "s1_id").join(side("other_id", "o", "source <> 1"), "other_id"))
     return full.withColumn("cheap_score", cheap_score(lambda c: F.col(f"q_{c}"), lambda c: F.col(f"o_{c}"))).select("s1_id", "other_id", "key_hits", "cheap_score", "key_weight")
 
 
