@@ -170,7 +170,22 @@ def er_semi_pairs(spark, sf_dir):
 
 @query()
 def er_scored_candidates(spark, sf_dir):
-    return candidates.candidates(R.norm(spark, sf_dir), R.CAP, R.PREFILTER, R.TOP)
+    return candidates.candidates(R.norm(spark, sf_dir))
+
+
+@query()
+def er_keys_capped_full(spark, sf_dir):
+    return candidates.capped_keys(candidates.keys(R.norm(spark, sf_dir)))
+
+
+@query()
+def er_pairs_full(spark, sf_dir):
+    return candidates.pairs(candidates.capped_keys(candidates.keys(R.norm(spark, sf_dir))))
+
+
+@query()
+def er_candidates_full(spark, sf_dir):
+    return R.full_candidates(spark, sf_dir)
 
 
 # Pairs and features
@@ -237,7 +252,7 @@ def er_jaro_winkler(spark, sf_dir):
 
 @query()
 def er_similarities(spark, sf_dir):
-    df = features.enriched(R.rarity_candidates(spark, sf_dir), R.norm(spark, sf_dir))
+    df = features.enriched(R.full_candidates(spark, sf_dir), R.norm(spark, sf_dir))
     a, b = F.col("q_name_core"), F.col("o_name_core")
     return df.select("s1_id", "other_id", *(F.round(similarity(n, a, b), 6).alias(n) for n in ("ratio", "token_set", "token_sort", "partial")))
 
@@ -245,7 +260,7 @@ def er_similarities(spark, sf_dir):
 @query()
 def er_features(spark, sf_dir):
     n = R.norm(spark, sf_dir)
-    return features.features(candidates.candidates(n, R.CAP, R.PREFILTER, R.TOP), n, R.truth(spark, sf_dir))
+    return features.features(candidates.candidates(n), n, R.truth(spark, sf_dir))
 
 
 @query(S.w(S.CAND, S.TRUTH) + "SELECT c.s1_id, c.other_id, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END::TINYINT AS label FROM cand c LEFT JOIN truth t USING (s1_id, other_id)")
@@ -399,6 +414,11 @@ def er_recall(spark, sf_dir):
     return evaluate.recall(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
 
 
+@query()
+def er_recall_full(spark, sf_dir):
+    return evaluate.recall(R.full_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
+
+
 @query(_RC + "SELECT country, round(count(c.s1_id) / count(*)::DOUBLE, 6) AS recall FROM truth t JOIN ids USING (s1_id) LEFT JOIN cand c ON c.s1_id = t.s1_id AND c.other_id = t.other_id GROUP BY country")
 def er_recall_by_country(spark, sf_dir):
     return evaluate.recall_by_country(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
@@ -414,6 +434,11 @@ def er_oracle_f05(spark, sf_dir):
     return evaluate.oracle_f05(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
 
 
+@query()
+def er_oracle_f05_full(spark, sf_dir):
+    return evaluate.oracle_f05(R.full_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
+
+
 @query(S.w(S.CAND, S.TRUTH) + "SELECT * FROM truth t WHERE NOT EXISTS (FROM cand c WHERE c.s1_id = t.s1_id AND c.other_id = t.other_id)")
 def er_missed_pairs(spark, sf_dir):
     return candidates.missed_pairs(R.truth(spark, sf_dir), R.rarity_candidates(spark, sf_dir))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkmill.functions import vocab
 from linkmill.functions.text import basic_clean
 from linkmill.operators import candidates, normalize
 
 #: Regions of the derived addresses, for the queries that look regions up.
 ALIASES = {"src1": "north", "src2": "south", "src3": "north", "src4": "src4"}
-#: Queries run with small caps, so that the caps bind on small tables too.
-CAP, PREFILTER, TOP = 100, 20, 10
+#: Queries that have SQL run with its small caps, which bind on small tables too; all others run with the limits of vocab.
+CAP, PREFILTER = 100, 20
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,12 +44,17 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where("source <> '1'").join(first, ["lang", "h"]).select("s1_id", F.col("id").alias("other_id"))
 
 
-def rarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rarity_candidates(spark: SparkSession, sf_dir: str, cap: int = CAP, prefilter_k: int = PREFILTER) -> DataFrame:
     """Candidates whose cheap_score is the key weight on a scale from 0 to 1: no text similarity, so SQL can follow."""
-    found = candidates.top(candidates.pairs(candidates.capped_keys(candidates.keys(norm(spark, sf_dir)), CAP)), PREFILTER, "key_weight")
+    found = candidates.top(candidates.pairs(candidates.capped_keys(candidates.keys(norm(spark, sf_dir)), cap)), prefilter_k, "key_weight")
     return found.withColumn("cheap_score", F.round(F.col("key_weight") / (1 + F.col("key_weight")), 6))
 
 
+def full_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rarity_candidates at the limits of the library."""
+    return rarity_candidates(spark, sf_dir, vocab.BLOCK_CAP, vocab.PREFILTER_K)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("other_id").orderBy(F.desc("prob"), "s1_id")
     scored = rarity_candidates(spark, sf_dir).select("s1_id", "other_id", F.col("cheap_score").alias("prob"))

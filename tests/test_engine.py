@@ -178,6 +178,17 @@ def test_queries_against_sql(spark):
         assert got == sorted(str([plain(v) for v in r]) for r in want), name
 
 
+def test_queries_without_sql_run_at_the_limits_of_the_library(spark, tmp_path):
+    docs = [(i, "alpha bravo charlie delta echo foxtrot golf hotel", "en", "s", 50) for i in range(600)]  # 200 queries, a group of 400 others
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    per_s1 = lambda name: {r["count"] for r in Q.queries()[name](spark, str(tmp_path)).groupBy("s1_id").count().collect()}
+    assert per_s1("er_scored_candidates") == per_s1("er_features") == {vocab.TOP_K}
+    assert per_s1("er_similarities") == per_s1("er_candidates_full") == {vocab.PREFILTER_K}
+    assert per_s1("er_pairs_full") == {400}
+    assert Q.queries()["er_recall_full"](spark, str(tmp_path)).first().n_cand_pairs == 200 * vocab.PREFILTER_K
+    assert Q.queries()["er_keys_capped_full"](spark, str(tmp_path)).where("n_index = 400").count() > 0
+
+
 def test_plans_stay_in_the_jvm(spark):
     plan = Q.queries()["er_candidates"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "WindowGroupLimit" in plan
