@@ -1,9 +1,9 @@
 """Best-fit packing by the configuration linear program over the histogram of lengths.
 
 A configuration is a multiset of lengths that fits a sequence. The program asks for the fewest sequences whose
-configurations cover the histogram. Multiplicative weights give each length a price; the configuration of highest price
-comes from a knapsack dynamic program over the capacity; lengths that it covers get cheaper. The averaged configurations
-are scaled to the histogram and rounded down; what is left is packed best-fit, longest first, on the histogram too.
+configurations cover the histogram. Multiplicative weights give each length a price; the configurations of highest price
+come from a knapsack dynamic program over the capacity; lengths that they cover get cheaper. The averaged configurations
+are scaled to the histogram and rounded; what is left is packed best-fit, longest first, on the histogram too.
 
 Only the histogram (at most `capacity` numbers) comes to the driver, whatever the size of the corpus. The plan that goes
 back is a list of distinct configurations with multiplicities. Each piece finds its place by its rank among the pieces of
@@ -116,20 +116,24 @@ def _arrow(x):
     return pa.array(x)
 
 
-def best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Copies of each length in the configuration of highest price, by dynamic programming over the capacity.
-
-    best[c] is the highest price that fits c; a length may be used again and again (unbounded knapsack), which pricing
-    allows; copies beyond the histogram are cut back by the rounding."""
+def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """By dynamic programming, for each c up to the capacity: the highest price that fits c, and the length to start with
+    (the longest of equal ones; -1: as for c - 1). A length may be used again and again (unbounded knapsack)."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
         best[c] = best[c - 1]
         if k := fits[c]:
             value = best[c - lengths[:k]] + prices[:k]
-            j = value.argmax()
+            j = k - 1 - value[::-1].argmax()
             if value[j] > best[c]:
                 best[c], pick[c] = value[j], j
+    return best, pick
+
+
+def best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """Copies of each length in the configuration of highest price."""
+    pick = knapsack(prices, lengths, capacity)[1]
     copies, c = np.zeros(len(lengths), np.int64), capacity
     while c > 0:
         if pick[c] < 0:
@@ -140,54 +144,59 @@ def best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -
     return copies
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 400, rate: float = 20.0, step: float = 0.2) -> list[tuple[np.ndarray, float]]:
-    """(configuration, number of sequences) of a fractional cover of the counts, by multiplicative weights.
-
-    The weight of a length falls exponentially in how much of its count is covered; its price is weight over count. Each
-    round takes the configuration of highest price, as often as covers `step` of the count of its scarcest length. At the
-    end the numbers are scaled so that the least covered length is covered."""
-    need, covered, used = counts.astype(float), np.zeros(len(lengths)), {}
-    done = 0
+def _with(first: int, best: np.ndarray, pick: np.ndarray, prices: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple:
+    """((length's place, copies), ...) of the configuration of highest price that holds the given length. Where the table
+    asks for more copies than the histogram has, the best of the other lengths goes on."""
+    copies, c = {first: 1}, capacity - int(lengths[first])
+    while c > 0:
+        j = int(pick[c])
+        if j < 0:
+            c -= 1
+            continue
+        if copies.get(j, 0) >= counts[j]:
+            k = int(np.searchsorted(lengths, c, "right"))
+            value = best[c - lengths[:k]] + prices[:k]
+            for i, n in copies.items():
+                if i < k and n >= counts[i]:
+                    value[i] = -1
+            j = k - 1 - int(value[::-1].argmax())
+            if value[j] <= 0:
+                break
+        copies[j] = copies.get(j, 0) + 1
+        c -= int(lengths[j])
+    return tuple(sorted(copies.items()))
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 20.0, near: float = 0.02) -> list[tuple[tuple, float]]:
+    """(configuration, number of sequences) of a fractional cover of the counts, by multiplicative weights over all lengths.
+
+    The price of a length starts as the length and falls exponentially in how much of its count is covered. A round takes,
+    for each length, the best configuration that holds it, if its price is within `near` of the highest, in proportion to
+    the length's count, and as often as covers `step` of the count of the length that is covered most. At the end the
+    numbers are scaled so that the least covered length is covered. Small programs get more and shorter rounds."""
+    rounds = int(np.clip(8_000_000 // (capacity * len(lengths)), 400, 2000))
+    need, covered, used, step, done = counts.astype(float), np.zeros(len(lengths)), {}, 40 / rounds, 0
     while done < rounds or covered.min() <= 0:
-        copies = best_configuration(np.exp(-rate * (covered - covered.min())) / need, lengths, capacity)
-        on = copies > 0
-        times = float((need[on] / copies[on]).min()) * step
-        key = tuple(copies.tolist())
-        used[key] = used.get(key, 0.0) + times
-        covered += times * copies / need
+        prices = lengths * np.exp(-rate * (covered - covered.min()))
+        best, pick = knapsack(prices, lengths, capacity)
+        close = np.flatnonzero(prices + best[capacity - lengths] >= (1 - near) * best[capacity])
+        configs = [(_with(int(j), best, pick, prices, lengths, counts, capacity), need[j]) for j in close]
+        more = np.zeros(len(lengths))
+        for config, n in configs:
+            for i, k in config:
+                more[i] += k * n
+        more /= need
+        times = step / more.max()
+        for config, n in configs:
+            used[config] = used.get(config, 0.0) + n * times
+        covered += times * more
         done += 1
-    return [(np.array(c), t / covered.min()) for c, t in sorted(used.items(), key=lambda x: (-x[1], x[0]))]
-
-
-#: Up to so many distinct lengths the program is solved as such; beyond it, prices come from classes of lengths.
-CLASSES = 64
-
-
-def prices_of(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
-    """Price of each length from the program over classes of lengths; a class counts as its longest length, and prices
-    run straight from one class to the next."""
-    share = (np.cumsum(counts) - counts) * CLASSES // counts.sum()
-    classes = np.unique(share)
-    longest = np.array([lengths[share == k].max() for k in classes])
-    total = np.array([counts[share == k].sum() for k in classes], float)
-    covered, mean = np.zeros(len(classes)), np.zeros(len(classes))
-    for _ in range(200):
-        price = np.exp(-20.0 * (covered - covered.min())) / total
-        copies = best_configuration(price, longest, capacity)
-        on = copies > 0
-        covered += float((total[on] / copies[on]).min()) * 0.2 * copies / total
-        mean += price / np.dot(price, copies)  # scaled so that no configuration is worth more than 1
-    return np.interp(lengths, longest, mean / 200)
+    return [(c, n / covered.min()) for c, n in sorted(used.items(), key=lambda x: (-x[1], x[0]))]
 
 
 def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in one sequence, number of such sequences), which use up the histogram exactly: the rounded solution of
-    the program with the rest best-fit, or all of it best-fit if that takes fewer sequences."""
-    plans = [_plan(lengths, counts, capacity, program) for program in (True, False)]
-    return min(plans, key=lambda p: sum(n for _, n in p))
-
-
-def _plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, program: bool, rounds: int = 400) -> list[tuple[tuple[int, ...], int]]:
+    the program, and best-fit for the remainder."""
     left = counts.astype(np.int64).copy()
     made: dict[tuple[int, ...], int] = {}
 
@@ -201,32 +210,18 @@ def _plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, program: bool,
         own = np.zeros(len(lengths), np.int64)
         own[full[0]] = 1
         use(own, int(left[full[0]]))
-    if program and left.any():
-        open_ = np.flatnonzero(left)
-        if len(open_) <= CLASSES:
-            solution = solve(lengths[open_], left[open_], capacity)
-        else:
-            solution = None
-            price = prices_of(lengths[open_], left[open_], capacity)
-        for k in range(rounds if solution is None else len(solution)):
-            if solution is None:  # price the lengths that are left; those just covered get cheaper
-                here = np.flatnonzero(left[open_])
-                if not len(here):
-                    break
-                copies = np.zeros(len(open_), np.int64)
-                copies[here] = best_configuration(price[here], lengths[open_][here], capacity)
-                times = int(left[open_].sum())
-            else:
-                copies, times = solution[k]
-            config = np.zeros(len(lengths), np.int64)
-            config[open_] = copies
-            on = config > 0
-            most = int((left[on] // config[on]).min())
-            times = min(int(times), most if solution is not None else max(1, most // 2) if most else 0)  # rounded down
-            if times > 0:
-                use(config, times)
-            if solution is None:
-                price = price * np.exp(-0.02 * copies / np.maximum(copies.sum(), 1)) if times else price * np.where(copies > 0, 0.9, 1)
+    open_ = np.flatnonzero(left)
+    carried = 0.0  # what rounding down leaves of a number goes to the next configuration
+    for config, n in solve(lengths[open_], left[open_], capacity) if len(open_) else ():
+        carried += n
+        times = int(carried)
+        carried -= times
+        if times:
+            times = min(times, *(int(left[open_[i]]) // k for i, k in config))
+        if times:
+            copies = np.zeros(len(lengths), np.int64)
+            copies[open_[[i for i, _ in config]]] = [k for _, k in config]
+            use(copies, times)
     while left.any():  # what is left, best-fit: the longest that fits goes first
         config, room = np.zeros(len(lengths), np.int64), capacity
         while len(fits := np.flatnonzero((left > config) & (lengths <= room))):

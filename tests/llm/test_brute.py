@@ -79,6 +79,28 @@ def test_packing_plan_is_near_the_bound(seed):
     assert sum(n for _, n in made) <= len(first_fit)
 
 
+def test_packing_of_many_lengths_follows_the_program():
+    rng = np.random.default_rng(5)
+    lengths = np.unique(rng.integers(1, 513, 300))
+    counts = rng.integers(1, 80, len(lengths))
+    solution = packing.solve(lengths, counts, 512)
+    covered, chosen = np.zeros(len(lengths)), Counter()
+    for config, n in solution:
+        assert sum(int(lengths[i]) * k for i, k in config) <= 512
+        for i, k in config:
+            covered[i] += k * n
+        chosen[tuple(sorted((int(lengths[i]) for i, k in config for _ in range(k)), reverse=True))] += n
+    assert (covered >= counts - 1e-6).all()  # every length of the histogram, more than 64 of them
+    made = packing.plan(lengths, counts, 512)
+    used = Counter()
+    for config, n in made:
+        used.update({x: n * k for x, k in Counter(config).items()})
+    assert used == dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+    total = sum(n for _, n in made)
+    assert sum(n for config, n in made if config in chosen) >= 0.6 * total
+    assert total <= 1.01 * sum(n for _, n in solution)
+
+
 def test_knapsack_pricing_is_exact():
     rng = np.random.default_rng(1)
     for _ in range(20):
