@@ -86,9 +86,10 @@ def resample(x: np.ndarray) -> np.ndarray:
 
 
 def log_mel(samples: bytes) -> np.ndarray:
-    """Frames x MELS, in natural logarithms. Blocks of frames are resampled with the samples around them."""
+    """Frames x MELS, in natural logarithms. Blocks of frames are resampled with the samples around them. The last frame is
+    filled up with silence, so that every sample is in a frame."""
     n = -(-len(samples) * UP // DOWN)
-    frames = max(1, 1 + (n - FRAME) // HOP) if n >= FRAME else 1
+    frames = 1 + max(0, -(-(n - FRAME) // HOP))
     raw = np.frombuffer(samples, np.uint8)
     out = np.empty((frames, MELS), np.float32)
     bank, hann = BANK.astype(np.float32), HANN.astype(np.float32)
@@ -130,7 +131,9 @@ def pooled(mel: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def features(samples: bytes) -> dict:
     mel = log_mel(samples)
     tensor, edges = pooled(mel)
-    return {"tensor": tensor, "pool_ms": edges * HOP * 1000 // RESAMPLED, "frames": len(mel), "segments": [(a * HOP * 1000 // RESAMPLED, ((b - 1) * HOP + FRAME) * 1000 // RESAMPLED) for a, b in segments(mel)]}
+    end = -(-len(samples) * UP // DOWN)  # the silence after it belongs to no segment
+    spans = [(a * HOP * 1000 // RESAMPLED, min((b - 1) * HOP + FRAME, end) * 1000 // RESAMPLED) for a, b in segments(mel)]
+    return {"tensor": tensor, "pool_ms": edges * HOP * 1000 // RESAMPLED, "frames": len(mel), "segments": spans}
 
 
 def digest(f: dict) -> str:

@@ -275,6 +275,18 @@ def test_audio_round_trip(data):
     assert audio.digest(f) == audio.digest(audio.features(p))
 
 
+@pytest.mark.parametrize("units", [1, 2, 3, 5, 400])
+def test_audio_frames_hold_the_last_samples(units):
+    n = units * audio.UNIT
+    quiet = np.full(n, 128, np.uint8)
+    loud = quiet.copy()
+    loud[-100:] = 128 + 100 * np.sin(np.arange(100))
+    a, b = audio.log_mel(quiet.tobytes()), audio.log_mel(loud.tobytes())
+    assert (len(a) - 1) * audio.HOP + audio.FRAME >= n * audio.UP / audio.DOWN
+    assert not np.array_equal(a, b)
+    assert audio.digest(audio.features(quiet.tobytes())) != audio.digest(audio.features(loud.tobytes())) or units == 400  # tenths of a long mean
+
+
 def test_audio_features_follow_the_sound():
     n = 24_000
     quiet, tone = np.full(n, 128), 128 + 100 * np.sin(2 * np.pi * 1000 * np.arange(n) / audio.RATE)
