@@ -162,24 +162,38 @@ def unpack_tensor(data: bytes) -> tuple[np.ndarray, list, list]:
     return row.column("mel").combine_chunks().to_numpy_ndarray()[0], row.column("pool_ms")[0].as_py(), row.column("segments")[0].as_py()
 
 
+def read_features(data: bytes) -> dict:
+    """What digest() asks for, from a stored stream alone: the end of the last pool tells the number of frames."""
+    tensor, pool_ms, spans = unpack_tensor(data)
+    return {"tensor": tensor, "frames": -(-pool_ms[-1] * RESAMPLED // (HOP * 1000)), "segments": [(s["start_ms"], s["end_ms"]) for s in spans]}
+
+
+def described(text: str | None) -> tuple[tuple, bytes, bytes]:
+    """The digest of a text, its stored bytes and its tensor stream. The feature is that of the stream, read back."""
+    stored = store(payload(text))
+    back = read_back(stored)
+    f = features(back)
+    stream = pack_tensor(f["tensor"], f["pool_ms"], f["segments"])
+    n = len((text or "").encode("utf-8", "surrogatepass"))
+    row = (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-TAIL:]), len(stored), hashlib.sha256(stored).hexdigest(), digest(read_features(stream)))
+    return row, stored, stream
+
+
 DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def audio_columns(docs: DataFrame, media: bool = True) -> DataFrame:
-    """doc_id and the digest of every row and, if asked for, the stored bytes and the tensor stream."""
+    """doc_id and the digest of every row, for which bytes and tensor stream are made; if asked for, they are columns too."""
 
     def make():
         def work(batch):
             for at in range(0, batch.num_rows, 256):  # so that few stored bytes are held at once
                 rows, more = [], []
                 for text in batch.column(1).slice(at, 256).to_pylist():
-                    stored = store(payload(text))
-                    back = read_back(stored)
-                    f = features(back)
-                    n = len((text or "").encode("utf-8", "surrogatepass"))
-                    rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-TAIL:]), len(stored), hashlib.sha256(stored).hexdigest(), digest(f)))
+                    row, *bytes_ = described(text)
+                    rows.append(row)
                     if media:
-                        more.append((stored, pack_tensor(f["tensor"], f["pool_ms"], f["segments"])))
+                        more.append(bytes_)
                 yield [batch.column(0).slice(at, 256), *map(list, zip(*rows, strict=True)), *(map(list, zip(*more, strict=True)) if media else ())]
 
         return work

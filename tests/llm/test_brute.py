@@ -287,6 +287,23 @@ def test_audio_frames_hold_the_last_samples(units):
     assert audio.digest(audio.features(quiet.tobytes())) != audio.digest(audio.features(loud.tobytes())) or units == 400  # tenths of a long mean
 
 
+@given(st.binary(max_size=30000))
+@settings(max_examples=50, deadline=None)
+def test_audio_feature_is_that_of_the_stored_tensor(data):
+    row, stored, stream = audio.described(data.decode("latin-1"))
+    f = audio.features(audio.read_back(stored))
+    assert audio.read_features(stream)["frames"] == f["frames"] and row[-1] == audio.digest(audio.read_features(stream)) == audio.digest(f)
+
+
+def test_audio_makes_the_tensor_of_every_row(monkeypatch):
+    made, pack = [], audio.pack_tensor
+    monkeypatch.setattr(audio, "pack_tensor", lambda t, *a: made.append(1) or pack(t + np.float32(1), *a))
+    moved = audio.described("some text")[0][-1].split(";")[-1].split(",")
+    monkeypatch.undo()
+    plain = audio.described("some text")[0][-1].split(";")[-1].split(",")
+    assert made == [1] and all(int(a) - int(b) in (9, 10, 11) for a, b in zip(moved, plain, strict=True))  # read from the stream
+
+
 def test_audio_features_follow_the_sound():
     n = 24_000
     quiet, tone = np.full(n, 128), 128 + 100 * np.sin(2 * np.pi * 1000 * np.arange(n) / audio.RATE)
