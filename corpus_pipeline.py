@@ -33,18 +33,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id stays."""
-    found = jaccard_components(docs, WIDTH, PERCENT).where("n_shingles > 0 and doc_id is not null")
-    ids = found.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("first"), F.count("*").alias("rows"))
-    state = cut(ids)
-    gone, again = state.where("first = 0").select("doc_id"), state.where("first = 1 and rows > 1").select("doc_id")
+    """Of each group of linked documents, the one with the smallest id stays. Where ids repeat, rows of one id and different
+    texts are documents of their own."""
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = bool(ids.where("count > 1").head(1))
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("h"))) if repeated else F.col("doc_id")
+    keyed = docs.select(*COLUMNS, own.alias("__key"))
+    found = jaccard_components(keyed.select(F.col("__key").alias("doc_id"), "text"), WIDTH, PERCENT).where("n_shingles > 0 and doc_id is not null")
+    gone = cut(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct())
     small = lambda x: F.broadcast(x) if x.count() <= BROADCAST_IDS else x
-    kept = docs.select(*COLUMNS).join(small(gone), "doc_id", "left_anti")
-    if again.head(1):  # several rows of one id: the first of those with words stays
-        words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        repeated = kept.where(words).join(small(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
-        others = kept.join(small(again), "doc_id", "left_anti").unionByName(kept.where(~words).join(small(again), "doc_id", "left_semi"))
-        kept = others.unionByName(repeated)
+    kept = keyed.join(small(gone), "__key", "left_anti")
+    if repeated:  # rows of one id and one text: the first of those with words stays
+        words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("doc_id").isNotNull()
+        once = kept.where(words).groupBy("__key").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
+        return kept.where(~words).select(*COLUMNS).unionByName(once)
     return kept.select(*COLUMNS)
 
 

@@ -69,3 +69,13 @@ def test_pipeline_stages_on_edges(spark, nasty, empty):
             stage(spark, docs, DATA).collect()
     kept = [r.doc_id for r in c.near_duplicates(spark, nasty, DATA).collect()]
     assert kept.count(5) == 1 and 6 not in kept and kept.count(None) == 2 and 0 in kept
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    import corpus_pipeline as c
+
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    data = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[2]), (5, texts[2]), (7, texts[1]), (8, texts[3]), (8, None), (None, texts[3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in c.near_duplicates(spark, docs, DATA).collect()), key=str)
+    assert kept == sorted([(1, texts[0]), (5, texts[1]), (5, texts[2]), (8, texts[3]), (8, None), (None, texts[3])], key=str)
