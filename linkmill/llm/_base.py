@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -38,16 +39,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
 
 
-def map_batches(df: DataFrame, columns: list, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[list]]]) -> DataFrame:
+def map_batches(df: DataFrame, columns: list, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[list]]], ended: bool = False) -> DataFrame:
     """mapInArrow over the named columns only. make() runs once a task and returns a function that yields lists of
-    column values (in the order of ddl) for each batch."""
+    column values (in the order of ddl) for each batch; if asked for, it is called with None at the end."""
     schema = StructType.fromDDL(ddl)
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
         work = make()
-        for batch in batches:
+        for batch in chain(batches, [None] * ended):
             for out in work(batch):
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(out, arrow, strict=True)], schema=arrow)
 

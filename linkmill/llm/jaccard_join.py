@@ -12,15 +12,19 @@ blocks takes two rounds:
    signature trees: leaves are nodes' bitmaps, inner nodes hold the union of the bitmaps below them, the range of set
    sizes and the component if there is one. Two trees are walked together; a pair of tree nodes is dropped when the sizes
    can't reach t, when both lie in one component, or when the largest overlap that the bitmaps allow is too small.
-   Clusters of over BLOCK nodes are cut, and each pair of parts is a task of its own.
+   Clusters of over BLOCK nodes are cut, and each pair of parts is a task of its own. A component of BLOCK nodes and more
+   has parts to itself, which never meet each other: a cluster of one large component and some other nodes costs in
+   proportion to its size. The first walk, over small bitmaps, gives the nodes of pairs that may be links, not the pairs,
+   which may be as many as the square of a cluster. Whole sets of these nodes go to a second walk, over wide bitmaps. It
+   decides pairs on the sets, joins components as it finds links, and sends out only links that join two of them.
 
-Pairs that the bitmaps allow are decided on the whole sets. Components come from alternating star contractions of the
+Pairs with a pivot are decided on the whole sets, too. Components come from alternating star contractions of the
 links. Nothing unbounded is collected: blocks meet their counts by joins that can be split where they are skewed, rows of
-large classes find their component under salts, and the driver sees counts, the common shingles of the sample, and a bitmap
-of fixed size that tells which sets are worth fetching.
+large clusters and classes find their data under salts, and the driver sees counts, at most MOST common shingles of the
+sample, and a bitmap that tells which texts are worth reading again, of 16 bits a wanted set and 2 ** MOST_SIEVE at most.
 
-Links between different sets are all found; within a component that is connected already, pairs aren't looked at. Nulls
-and texts without words have empty sets and are linked with nothing. Repeated rows share a component. A null doc_id takes
+The query's components are those of all links. Links inside a component that is connected already are neither listed nor
+counted. Nulls and texts without words have empty sets and are linked with nothing. Repeated rows share a component. A null doc_id takes
 part, but is no component's name unless the component has no other. Texts of any length are read whole. Other columns of
 the input are not read, so their names cannot clash. An empty table gives an empty result.
 """
@@ -39,9 +43,15 @@ WIDTH, PERCENT = 4, 85
 #: About so many documents decide which shingles are common, those of at least COMMON of them. Only hashes in the lowest
 #: LOW part of all are counted: the order goes by hash, so others are seldom among the first.
 ORDER_SAMPLE, COMMON, LOW = 32_768, 3, 0.35
+#: Of them, the most frequent ones that the order knows: 16 MB.
+MOST = 1 << 20
 BLOCK = 1024
-#: Logarithm of the bits of the sieve of wanted signatures: 2 MB.
-SIEVE = 24
+#: Shingles of a part of a cluster, but for a single larger set: 32 MB of whole sets.
+BLOCK_SHINGLES = 1 << 22
+#: Logarithm of the most bits of the sieve of wanted texts: 32 MB. A fuller sieve lets other texts pass, which a join drops.
+MOST_SIEVE = 28
+#: Least bits for each shingle, at most twice as many: of bitmaps that are exchanged, and of those made where the sets are.
+BITS, WIDE = 2, 8
 SALTS = 16
 #: Bytes of text that are hashed at once.
 PART = 1 << 20
@@ -124,10 +134,10 @@ def prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int =
     return rare, rest[np.lexsort((rest, count))][: size - len(rare)]
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    """A bit for each shingle, in a power of two of bits, 8 to 16 times as many as shingles: few bits of a shingle that
-    one of two sets lacks are set by another one, so the bound on their overlap is close."""
-    bits = 1 << max(6, min(23, math.ceil(math.log2(8 * (len(s) + 1)))))
+def bitmap(s: np.ndarray, bits: int = BITS) -> bytes:
+    """A bit for each shingle, in a power of two of bits, one to two times `bits` as many as shingles. The more bits, the fewer
+    of the shingles that one of two sets lacks share a bit with others, and the closer is the bound on the overlap."""
+    bits = 1 << max(6, min(23, math.ceil(math.log2(bits * (len(s) + 1)))))
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -279,14 +289,15 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         return lambda batch: iter([[[low(t) for t in batch.column(0).to_pylist()]]])
 
     sets = map_batches(sample, ["text"], "s array<long>", make)
-    rows = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toPandas()
+    counted = sets.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    rows = counted.orderBy(F.desc("n"), "s").limit(MOST).toPandas()
     s, often = rows["s"].to_numpy(np.int64).astype(np.uint64), rows["n"].to_numpy(np.int64)
     order = np.argsort(s)
     return s[order], often[order]
 
 
 def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, sig, bitmap and the two parts of the prefix of every row."""
+    """doc_id, hash of the text, n, sig, bitmap and the two parts of the prefix of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(_common(docs, width))
 
     def make():
@@ -295,55 +306,64 @@ def _digests(docs: DataFrame, width: int, percent: int) -> DataFrame:
         def work(batch):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sets = [shingle_set(t, width) for t in part.column(1).to_pylist()]
+                sets = [shingle_set(t, width) for t in part.column(2).to_pylist()]
                 prefixes = [prefix(s, common, often, percent) for s in sets]
-                yield [part.column(0), list(map(len, sets)), list(map(signature, sets)), list(map(bitmap, sets)), *([p[k].astype(np.int64) for p in prefixes] for k in (0, 1))]
+                yield [part.column(0), part.column(1), list(map(len, sets)), list(map(signature, sets)), list(map(bitmap, sets)), *([p[k].astype(np.int64) for p in prefixes] for k in (0, 1))]
 
         return work
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, n long, sig long, map binary, rare array<long>, common array<long>", make)
+    return map_batches(docs, ["doc_id", _text_hash(), "text"], f"doc_id {kind}, text_hash long, n long, sig long, map binary, rare array<long>, common array<long>", make)
+
+
+def _text_hash():
+    """Tells whether a text is worth reading again, before it is cut into shingles."""
+    return F.xxhash64("text").alias("text_hash")
 
 
 def _sieve(wanted: DataFrame) -> np.ndarray:
-    """A bitmap of 2 ** SIEVE bits, whatever the number of signatures: the bit of each wanted one is set. It is put together
-    from words of 64 bits by partial sums, so the driver gets 2 ** (SIEVE - 6) rows at most."""
-    mask = (1 << SIEVE) - 1
-    words = wanted.select(F.expr(f"shiftright(sig & {mask}L, 6)").alias("i"), F.expr("shiftleft(1L, cast(sig & 63L as int))").alias("w")).groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
-    out = np.zeros(1 << (SIEVE - 6), np.uint64)
+    """A bitmap in which two bits of each wanted hash are set, from its lower and its upper half. It is put together from
+    words of 64 bits by partial sums, so the driver gets 2 ** (MOST_SIEVE - 6) rows at most, whatever the number of hashes."""
+    bits = min(MOST_SIEVE, max(12, math.ceil(math.log2(16 * (wanted.count() + 1)))))
+    mask = (1 << bits) - 1
+    places = wanted.select(F.explode(F.array(F.col("text_hash").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("text_hash", 32).bitwiseAND(F.lit(mask)))).alias("p"))
+    words = places.select(F.shiftright("p", 6).alias("i"), F.expr("shiftleft(1L, cast(p & 63L as int))").alias("w")).groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[words["i"].to_numpy(np.int64)] = words["w"].to_numpy(np.int64).astype(np.uint64)
     return out
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """sig and the whole set of each wanted signature, from another scan of the texts. The sieve keeps most other sets out
-    of the exchange; a join drops those that pass it."""
+    """sig and the whole set of each wanted signature (with the hash of a text that has it), from another scan of the texts.
+    Texts that the sieve holds back are not cut into shingles; a task sends a set once, however many copies it meets; a join
+    drops the sets of other texts that passed."""
     shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
 
     def make():
-        sieve = shared.value
+        sieve, sent = shared.value, set()
+        mask = np.uint64(64 * len(sieve) - 1)
 
         def work(batch):
-            for at in range(0, batch.num_rows, 512):
-                sigs, sets = [], []
-                for t in batch.column(0).slice(at, 512).to_pylist():
-                    s = shingle_set(t, width)
-                    sig = signature(s)
-                    if sig is not None and int(sieve[(sig & (1 << SIEVE) - 1) >> 6]) >> (sig & 63) & 1:
-                        sigs.append(sig)
-                        sets.append(s.astype(np.int64))
-                if sigs:
-                    yield [sigs, sets]
+            h = batch.column(0).to_numpy().astype(np.uint64)
+            passed = np.ones(len(h), np.uint64)
+            for p in (h & mask, (h >> np.uint64(32)) & mask):
+                passed &= sieve[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))
+            for at in np.flatnonzero(passed & np.uint64(1)).tolist():
+                if int(h[at]) not in sent:
+                    sent.add(int(h[at]))
+                    s = shingle_set(batch.column(1)[at].as_py(), width)
+                    if len(s):
+                        yield [[signature(s)], [s.astype(np.int64)]]
 
         return work
 
-    sets = map_batches(docs, ["text"], "sig long, shingles array<long>", make)
+    sets = map_batches(docs, [_text_hash(), "text"], "sig long, shingles array<long>", make)
     return sets.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("shingles").alias("shingles"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
-    ends = cut(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
+    ends = cut(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct().join(nodes.select("sig", "text_hash"), "sig"))
     sets = cut(_sets(docs, ends, width))
     both = pairs.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")), "a")
     inter = F.size(F.array_intersect("x", "y"))
@@ -405,74 +425,114 @@ def _pivot_pairs(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return map_batches(both, ["a", "b", "n0", "n1", "m0", "m1"], "a long, b long", make)
 
 
-def _tree_pairs(blocks: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of a block, in different components, that sizes and bitmaps allow: by dual walks of signature trees.
+def _cluster_parts(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """pivot, sig, n, component, part, i and j: the nodes of clusters of several components, once for each pair of parts (i, j)
+    in which a node meets others.
+
+    Nodes of small components (in this cluster) are dealt to parts together, those of a larger component to parts of its
+    own, which are paired with all other parts but those of the same component."""
+    rows = cut(blocks.select("pivot", "sig", "n").distinct().join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig")))
+    parts = lambda c, n: F.ceil(F.greatest(c / BLOCK, n / BLOCK_SHINGLES)).cast("int")
+    is_large = (F.col("c") >= BLOCK) | (F.col("n") >= BLOCK_SHINGLES)
+    large = F.when(is_large, F.struct("component", parts(F.col("c"), F.col("n")).alias("parts")))
+    rest = lambda x: F.sum(F.when(is_large, 0).otherwise(F.col(x)))
+    clusters = (
+        rows.groupBy("pivot", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n")).groupBy("pivot")
+        .agg(F.count("*").alias("components"), F.sum("c").alias("size"), parts(rest("c"), rest("n")).alias("small"), F.collect_list(large).alias("large"))
+        .where("components > 1 and size > 2").select("pivot", "small", "large")
+    )
+    salted = clusters.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("sig"), F.lit(SALTS))).join(salted, ["pivot", "salt"])
+    total = lambda x: F.aggregate(x, F.lit(0), lambda n, y: n + y["parts"])
+    own = total(F.filter("large", lambda x: x["component"] == F.col("component")))
+    first = F.when(own == 0, 0).otherwise(F.col("small") + total(F.filter("large", lambda x: x["component"] < F.col("component"))))
+    rows = rows.withColumn("own", own).withColumn("first", first).withColumn("all", F.col("small") + total(F.col("large")))
+    rows = rows.withColumn("part", F.col("first") + F.pmod(F.xxhash64("sig", F.lit(1)), F.when(F.col("own") > 0, F.col("own")).otherwise(F.col("small")).cast("long")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("all") - 1), lambda q: (q < F.col("first")) | (q >= F.col("first") + F.col("own")))
+    pair = F.transform(others, lambda q: F.struct(F.least(q, F.col("part")).alias("i"), F.greatest(q, F.col("part")).alias("j")))
+    kept = ["pivot", "sig", "n", "component", "part"]
+    return rows.select(*kept, F.explode(pair).alias("p")).select(*kept, "p.i", "p.j")
+
+
+def _tree_links(blocks: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that join different components of a cluster, by dual walks of signature trees: over small bitmaps for the nodes
+    that may have one, then over their whole sets.
 
     Blocks with the same pivot are one cluster, so that a node's bitmap goes to each of its clusters once and not to each of
-    its blocks. A pair that several clusters hold comes from the first of them only."""
-    rows = blocks.select("pivot", "sig").distinct().join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    mixed = rows.groupBy("pivot").agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("size > 2 and c0 <> c1").select("pivot", "size")
-    rows = rows.join(mixed, "pivot")
-    clusters = rows.groupBy("sig").agg(F.collect_list("pivot").alias("clusters"))  # at most as many as its prefix has shingles
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.join(clusters, "sig").join(nodes.select("sig", "n", "map"), "sig").withColumn("part", F.pmod(F.xxhash64("sig"), parts.cast("long")).cast("int"))
-    # a row goes to each pair of parts that has its own part
-    pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")))
-    rows = rows.select("pivot", "sig", "n", "map", "component", "part", "clusters", F.explode(pairs).alias("p")).select("*", "p.i", "p.j").drop("p")
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    its blocks."""
+
+    def near(key, sigs, sizes, maps, components, parts):
+        sigs, components, parts = (np.array(x, np.int64) for x in (sigs, components, parts))
+        found: set = set()
+        for pair in block_pairs(np.arange(len(sigs)), np.array(sizes, np.int64), maps, components, parts, key[1], key[2], percent):
+            found.update(pair)
+        at = np.array(sorted(found), np.int64)
+        return [np.full(len(at), k, np.int64) for k in key] + [sigs[at], components[at], parts[at]]
+
+    def joining(key, sigs, components, parts, sets):
+        sigs, components, parts = (np.array(x, np.int64) for x in (sigs, components, parts))
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        out: list[tuple[int, int]] = []
+        sets = [x.astype(np.uint64) for x in sets]
+        maps = [bitmap(x, WIDE) for x in sets]
+        for i, j in block_pairs(np.arange(len(sigs)), np.array(list(map(len, sets)), np.int64), maps, components, parts, key[1], key[2], percent):
+            a, b = top(int(components[i])), top(int(components[j]))
+            if a != b:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    up[max(a, b)] = min(a, b)
+                    out.append((int(sigs[i]), int(sigs[j])))
+        return [[p[0] for p in out], [p[1] for p in out]]
+
+    key = ["pivot", "i", "j"]
+    rows = _cluster_parts(blocks, labels).join(nodes.select("sig", "map"), "sig")
+    found = cut(_map_blocks(rows, key, ["sig", "n", "map", "component", "part"], "pivot long, i long, j long, sig long, component long, part long", near))
+    wanted = cut(found.select("sig").distinct().join(nodes.select("sig", "text_hash"), "sig"))
+    rows = found.join(_sets(docs, wanted, width), "sig")
+    return _map_blocks(rows, key, ["sig", "component", "part", "shingles"], "a long, b long", joining)
+
+
+def _map_blocks(df: DataFrame, key: list, columns: list, ddl: str, solve) -> DataFrame:
+    """solve(key, *lists of columns), which returns columns of ddl, for all rows of each key. Rows are dealt and sorted by the
+    key; those of one key at a time are held."""
+    import pyarrow as pa
 
-    def make():
-        held: list = []  # key and rows of the cluster that the last batch ended in
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def values(c):
+        if not pa.types.is_list(c.type):
+            return c.to_pylist()
+        ends, flat = c.offsets.to_numpy(), c.values.to_numpy()
+        return [flat[a:b].copy() for a, b in zip(ends, ends[1:], strict=False)]
 
-        def solve(key, block):
-            sigs, sizes, maps, comps, parts, clusters = (list(x) for x in zip(*block, strict=True))
-            of = {s: frozenset(c) for s, c in zip(sigs, clusters, strict=True)}
-            arrays = (np.array(x, np.int64) for x in (sigs, sizes))
-            for a, b in block_pairs(*arrays, maps, np.array(comps, np.int64), np.array(parts), key[1], key[2], percent):
-                if min(of[a] & of[b]) == key[0]:
-                    yield (a, b) if a < b else (b, a)
+    def make():
+        held: list = []  # key and rows of the block that the last batch ended in
 
         def work(batch):
-            found: list = []
+            done = []
             if batch is None:
-                for key, block in held:
-                    found += solve(key, block)
+                done, held[:] = held[:], []
             else:
-                columns = [c.to_pylist() for c in batch.columns]
-                for pivot, i, j, *row in zip(*columns, strict=True):
-                    if not held or held[0][0] != (pivot, i, j):
-                        if held:
-                            found += solve(*held.pop())
-                        held.append(((pivot, i, j), []))
-                    held[0][1].append(row)
-            yield [[p[0] for p in found], [p[1] for p in found]]
+                lists = list(map(values, batch.columns))
+                for row in zip(*lists, strict=True):
+                    k = row[: len(key)]
+                    if not held or held[0][0] != k:
+                        done += held
+                        held[:] = [(k, [])]
+                    held[0][1].append(row[len(key) :])
+            for k, block in done:
+                yield solve(k, *map(list, zip(*block, strict=True)))
 
         return work
 
-    return _map_blocks(rows, ["pivot", "i", "j", "sig", "n", "map", "component", "part", "clusters"], "a long, b long", make).distinct()
-
-
-def _map_blocks(df: DataFrame, columns: list, ddl: str, make) -> DataFrame:
-    """Like map_batches, with a last call for what is held at the end of a partition."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL(ddl)
-
-    def run(batches):
-        arrow, work = to_arrow_schema(schema), make()
-        for batch in _ended(batches):
-            for out in work(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(out, arrow, strict=True)], schema=arrow)
-
-    return df.select(*columns).mapInArrow(run, schema)
-
-
-def _ended(batches):
-    yield from batches
-    yield None
+    rows = df.select(*key, *columns).repartition(n, *key).sortWithinPartitions(*key)
+    return map_batches(rows, [*key, *columns], ddl, make, ended=True)
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -480,17 +540,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     docs = docs.select("doc_id", "text")
     digests = cut(_digests(docs, width, percent))
     full = digests.where("n > 0")
-    nodes = cut(full.groupBy("sig").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.min("doc_id").alias("first"), F.count("*").alias("copies")))
+    nodes = cut(full.groupBy("sig").agg(F.first("n").alias("n"), F.first("map").alias("map"), F.first("text_hash").alias("text_hash"), F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     blocks = cut(_blocks(full))
     # beside the smallest node, another one, which differs from block to block, joins most of a group of near copies
     other = blocks.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("sig", "token").alias("h"), "sig", "n")).alias("p")).where("k > 2").select("token", "p")
     more = blocks.join(other, "token").select("sig", "n", F.col("p.sig").alias("pivot"), F.col("p.n").alias("m"))
-    links = cut(_verified(cut(_pivot_pairs(blocks.select("sig", "n", "pivot", "m").unionByName(more), nodes, percent)), docs, width, percent))
+    links = cut(_verified(cut(_pivot_pairs(blocks.select("sig", "n", "pivot", "m").unionByName(more), nodes, percent)), docs, nodes, width, percent))
     labels = cut(components(links))
-    rest = cut(_tree_pairs(blocks, nodes, labels, percent))
-    if rest.head(1):
-        found = labels.select(F.col("sig").alias("a"), F.col("component").alias("b"))
-        labels = components(found.unionByName(_verified(rest, docs, width, percent)))
+    found = labels.select(F.col("sig").alias("a"), F.col("component").alias("b"))
+    labels = components(found.unionByName(_tree_links(blocks, nodes, labels, docs, width, percent)))
     linked = nodes.select("sig", "first", "copies").join(labels, "sig")
     names = linked.groupBy("component").agg(F.min("first").alias("name"))
     by_sig = linked.join(names, "component").select("sig", "name", "copies")
