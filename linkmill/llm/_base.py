@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 from itertools import chain
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the folder the cluster names in spark.checkpoint.dir; set a local one only where it is unset (tests)."""
+    """Keep the folder the cluster names in spark.checkpoint.dir; set one only where it is unset and driver and workers are
+    one process (tests). On a cluster an unset folder is an error, as workers don't see the driver's disk."""
     sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkmill-checkpoint-"))
+    if sc.getCheckpointDir():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and re.fullmatch(r"local(\[.*\])?", sc.master) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="linkmill-checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -55,6 +63,56 @@ def map_batches(df: DataFrame, columns: list, ddl: str, make: Callable[[], Calla
     return df.select(*columns).mapInArrow(run, schema)
 
 
+#: Logarithm of the most bits of a sieve: 32 MB. A fuller one lets more pass, which an exact join decides.
+MOST_SIEVE = 28
+
+
+def make_sieve(hashes: DataFrame) -> np.ndarray:
+    """A bitmap in which two bits of each hash (the one column, long) are set, from its lower and its upper half: 16 bits a
+    hash and 2 ** MOST_SIEVE at most. It is put together from words of 64 bits by partial sums, so the driver gets
+    2 ** (MOST_SIEVE - 6) rows at most, whatever the number of hashes."""
+    h = hashes.columns[0]
+    bits = min(MOST_SIEVE, max(12, math.ceil(math.log2(16 * (hashes.count() + 1)))))
+    mask = F.lit((1 << bits) - 1)
+    places = hashes.select(F.explode(F.array(F.col(h).bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask))).alias("p"))
+    words = places.select(F.shiftright("p", 6).alias("i"), F.expr("shiftleft(1L, cast(p & 63L as int))").alias("w")).groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words["i"].to_numpy(np.int64)] = words["w"].to_numpy(np.int64).astype(np.uint64)
+    return out
+
+
+def passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash may be one of the sieve's; those that are always pass."""
+    h = hashes.astype(np.uint64)
+    mask = np.uint64(64 * len(sieve) - 1)
+    out = np.ones(len(h), np.uint64)
+    for p in (h & mask, (h >> np.uint64(32)) & mask):
+        out &= sieve[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))
+    return (out & np.uint64(1)).astype(bool)
+
+
+def passing(sieve: np.ndarray, spark: SparkSession, h):
+    """passes() as a column, of a column of hashes; other columns don't leave the JVM."""
+    shared = spark.sparkContext.broadcast(sieve)
+    return F.pandas_udf(lambda x: pd.Series(passes(shared.value, x.to_numpy())), "boolean")(h)
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """rows whose key (never null there) is not among `gone` (distinct keys). One way at every size, without an exchange of all
+    rows: what a sieve of the gone holds back is kept; of what passes, keys alone meet the gone, and those that are kept make
+    a second sieve; what it holds back is gone; the few rows that pass both are decided by a join."""
+    spark = rows.sparkSession
+    h = F.xxhash64(key)
+    gone = cut(gone.select(key, h.alias("__h")))
+    first = passing(make_sieve(gone.select("__h")), spark, F.col("__h"))
+    hashed = rows.withColumn("__h", h)
+    wrong = hashed.select(key, "__h").where(first).join(gone.select(key), key, "left_anti").select("__h").distinct()
+    second = passing(make_sieve(cut(wrong)), spark, F.col("__h"))
+    marked = hashed.withColumn("__in", F.coalesce(first, F.lit(False)))
+    open_ = marked.where("__in").where(second).join(gone.select(key), key, "left_anti").select(*rows.columns)
+    return marked.where(~F.col("__in")).select(*rows.columns).unionByName(open_)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, rows: int) -> DataFrame:
     """(text, y) of at most `rows` labelled documents whose crc32(doc_id as text) mod `modulus` is not `remainder`.
 

@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmill.llm._base import cut, map_batches, table
+from linkmill.llm._base import cut, make_sieve, map_batches, passes, table
 
 WIDTH, PERCENT = 4, 85
 #: About so many documents decide which shingles are common, those of at least COMMON of them. Only hashes in the lowest
@@ -48,8 +48,6 @@ MOST = 1 << 20
 BLOCK = 1024
 #: Shingles of a part of a cluster, but for a single larger set: 32 MB of whole sets.
 BLOCK_SHINGLES = 1 << 22
-#: Logarithm of the most bits of the sieve of wanted texts: 32 MB. A fuller sieve lets other texts pass, which a join drops.
-MOST_SIEVE = 28
 #: Least bits for each shingle, at most twice as many: of bitmaps that are exchanged, and of those made where the sets are.
 BITS, WIDE = 2, 8
 SALTS = 16
@@ -321,34 +319,18 @@ def _text_hash():
     return F.xxhash64("text").alias("text_hash")
 
 
-def _sieve(wanted: DataFrame) -> np.ndarray:
-    """A bitmap in which two bits of each wanted hash are set, from its lower and its upper half. It is put together from
-    words of 64 bits by partial sums, so the driver gets 2 ** (MOST_SIEVE - 6) rows at most, whatever the number of hashes."""
-    bits = min(MOST_SIEVE, max(12, math.ceil(math.log2(16 * (wanted.count() + 1)))))
-    mask = (1 << bits) - 1
-    places = wanted.select(F.explode(F.array(F.col("text_hash").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("text_hash", 32).bitwiseAND(F.lit(mask)))).alias("p"))
-    words = places.select(F.shiftright("p", 6).alias("i"), F.expr("shiftleft(1L, cast(p & 63L as int))").alias("w")).groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[words["i"].to_numpy(np.int64)] = words["w"].to_numpy(np.int64).astype(np.uint64)
-    return out
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """sig and the whole set of each wanted signature (with the hash of a text that has it), from another scan of the texts.
     Texts that the sieve holds back are not cut into shingles; a task sends a set once, however many copies it meets; a join
     drops the sets of other texts that passed."""
-    shared = docs.sparkSession.sparkContext.broadcast(_sieve(wanted))
+    shared = docs.sparkSession.sparkContext.broadcast(make_sieve(wanted.select("text_hash")))
 
     def make():
         sieve, sent = shared.value, set()
-        mask = np.uint64(64 * len(sieve) - 1)
 
         def work(batch):
-            h = batch.column(0).to_numpy().astype(np.uint64)
-            passed = np.ones(len(h), np.uint64)
-            for p in (h & mask, (h >> np.uint64(32)) & mask):
-                passed &= sieve[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))
-            for at in np.flatnonzero(passed & np.uint64(1)).tolist():
+            h = batch.column(0).to_numpy()
+            for at in np.flatnonzero(passes(sieve, h)).tolist():
                 if int(h[at]) not in sent:
                     sent.add(int(h[at]))
                     s = shingle_set(batch.column(1)[at].as_py(), width)
