@@ -135,13 +135,55 @@ def test_license_base_phrases(words):
     assert licenses.Automaton().scan(" ".join(words))["base"] == want
 
 
-def test_license_templates_label_themselves():
+def test_license_labels_are_exact():
     a = licenses.Automaton()
-    for label, text in licenses.TEMPLATES:
+    for label, text, _ in licenses.TEMPLATES:
         found = a.scan("some words before " + text.upper() + " and after")
-        assert label in found["labels"] and found["score"] == 1.0
+        base = {n for p, n in licenses.BASE if f" {p} " in " " + " ".join(w.decode() for w in split_words(text)) + " "}
+        assert found["labels"] == sorted(base | {label}) and found["score"] == 1.0
     broken = a.scan("Permission is hereby granted, free of charge, to any EVIL person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and sell copies of the Software")
     assert broken["labels"] == ["mit"] and 0.5 < broken["score"] < 1
+    affero = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    for text, labels in (
+        ("Released under the BSD license.", []), ("The book was released under the name Foo.", []), ("licensed under CC BY-ND 4.0", ["cc-by"]), ("licensed under cc by nd", ["cc-by"]),
+        (affero, ["agpl"]), (affero.replace("Affero ", ""), ["gpl"]), ("Permission is hereby granted, free of charge", []), ("This is free and unencumbered software", []),
+        ("version 3. This work is licensed under the GNU General Public License", ["gpl"]),
+    ):
+        assert a.scan(text)["labels"] == labels, text
+    twice = a.scan("Released under the MIT License. Released under the MIT License.")
+    assert [(s[1], s[2]) for s in twice["spans"]] == [(0, 5), (5, 10)]
+
+
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=12), min_size=1, max_size=3), st.lists(st.sampled_from("abcd"), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_license_matching_statistics(templates, text):
+    a = licenses.Automaton([(str(i), " ".join(t), "") for i, t in enumerate(templates)], ())
+    got = []
+    a._chains = lambda matches: got.extend((t, x, y, sorted(a.places[s][t])) for t, x, y, s in matches) or []
+    a.scan(" ".join(text))
+    want = []
+    for t, words in enumerate(templates):
+        ends = lambda p, words=words: [i + len(p) for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+        size = [max(n for n in range(i + 1) if n == 0 or ends(text[i - n : i])) for i in range(len(text) + 1)] + [0]
+        want += [(t, i - n, i, ends(text[i - n : i])) for i, n in enumerate(size[:-1]) if n >= licenses.MIN_MATCH and size[i + 1] <= n]
+    assert sorted(got) == sorted(want)
+
+
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(1, 5), st.integers(0, 12)), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_license_best_chain(pieces):
+    from itertools import combinations
+
+    pieces = sorted({(a, a + n, p, p + n) for a, n, p in pieces}, key=lambda p: (p[1], p[0], p[2]))
+    best = 0
+    for k in range(1, len(pieces) + 1):
+        for chain in combinations(pieces, k):
+            gains = [licenses.gain(p, q) for p, q in zip(chain, chain[1:], strict=False)]
+            if all(gains):
+                best = max(best, chain[0][1] - chain[0][0] + sum(gains))
+    found = licenses.best_chains(pieces, lambda p: True)
+    assert max((c for _, _, c in found), default=0) == best
+    assert all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
 
 
 def plain_secrets(text):
