@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkmill.llm import audio, decontaminate, jaccard_join, licenses, packing, secret_scan, sharding, token_counts
+from linkmill.llm import audio, decontaminate, jaccard_join, licenses, packing, quality, secret_scan, sharding, token_counts, toxicity
 from linkmill.llm._words import split_words
 
 from .conftest import SCHEMA, rows
@@ -361,3 +361,106 @@ def test_audio_features_follow_the_sound():
     y = audio.resample(np.sin(2 * np.pi * 1000 * np.arange(3000) / audio.RATE))
     want = np.sin(2 * np.pi * 1000 * np.arange(2000) / audio.RESAMPLED)
     assert np.corrcoef(y[100:1900], want[100:1900])[0, 1] > 0.99
+
+
+def plain_ngrams(text):
+    """Buckets of a text, one n-gram after another."""
+    codes, out = [ord(c) for c in (text or "").lower()], set()
+    for n in toxicity.ORDERS:
+        for i in range(len(codes) - n + 1):
+            h = codes[i]
+            for c in codes[i + 1 : i + n]:
+                h = (h * 0x01000193 + c) % 2**32
+            out.add(((h ^ n) * 2654435769 % 2**32) >> (32 - toxicity.BITS))
+    return out
+
+
+@given(st.text(max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_toxicity_ngrams(text):
+    assert set(toxicity.present(text, np.zeros(1 << toxicity.BITS, bool)).tolist()) == plain_ngrams(text)
+
+
+def test_toxicity_ngrams_across_slices(monkeypatch):
+    text = "".join(random.Random(1).choice("abcdefé🙂 ") for _ in range(500))
+    monkeypatch.setattr(toxicity, "SLICE", 64)
+    assert set(toxicity.present(text, np.zeros(1 << toxicity.BITS, bool)).tolist()) == plain_ngrams(text)
+
+
+def test_toxicity_counts_ratios_and_scores(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["good", "fine", "day", "vile" if i % 3 == 0 else "nice"]) for _ in range(12)) for i in range(90)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in enumerate(texts)], SCHEMA)
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    used = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 4 != 2]
+    from pyspark.sql import functions as F
+
+    sample = docs.where(F.col("doc_id").isin(used)).select("text", (F.col("doc_id") % 3 == 0).cast("int").alias("y"), (F.col("doc_id") % 2).cast("int").alias("fold")).repartition(3)
+    count, total = toxicity.counts(sample)
+    want = Counter((i % 2, int(i % 3 == 0), b) for i in used for b in plain_ngrams(texts[i]))
+    assert {tuple(map(int, k)): int(count[tuple(k)]) for k in np.argwhere(count)} == want
+    assert total.tolist() == [[sum(i % 2 == f and int(i % 3 == 0) == y for i in used) for y in (0, 1)] for f in (0, 1)]
+    ratio, _ = toxicity.ratios(count.sum(0), total.sum(0))
+    for b in list({k[2] for k in want})[:50]:
+        p = [(sum(want[f, y, b] for f in (0, 1)) + 1) / (total.sum(0)[y] + 2) for y in (0, 1)]
+        assert abs(ratio[b] - np.log(p[1] / p[0])) < 1e-9
+    weights, bias = toxicity.train(docs, labels)
+    chosen = np.flatnonzero(weights)
+    assert len(chosen) and set(chosen.tolist()) <= {k[2] for k in want}
+    for r in toxicity.toxicity_scores(docs, (weights, bias)).collect():
+        margin = bias + sum(float(weights[b]) for b in plain_ngrams(texts[r.doc_id]))
+        assert abs(r.score - 1 / (1 + np.exp(-margin))) < 1e-6 and r.predicted == int(r.score >= 0.3)
+    clear = [r for r in toxicity.toxicity_scores(docs, (weights, bias)).collect() if any(w in (texts[r.doc_id] or "") for w in ("vile", "nice"))]
+    assert len(clear) > 70 and all((r.score >= 0.5) == ("vile" in texts[r.doc_id]) for r in clear)
+
+
+def plain_tree(g, h):
+    """Best of all ways to cut bins once, and each side once more, greedily by gain, value by value."""
+    gain = lambda a, b: sum(g[a:b]) ** 2 / (sum(h[a:b]) + 1.0)
+    out = [0.0] * len(g)
+
+    def cut(a, b, depth):
+        best = max(((gain(a, k) + gain(k, b), -k) for k in range(a + 1, b)), default=(-1, 0))
+        if depth and best[0] > gain(a, b) + 1e-9:
+            cut(a, -best[1], depth - 1), cut(-best[1], b, depth - 1)  # noqa: B018
+        else:
+            out[a:b] = [sum(g[a:b]) / (sum(h[a:b]) + 1.0)] * (b - a)
+
+    cut(0, len(g), 2)
+    return out
+
+
+def test_quality_trees_and_quadrants():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        g, h = rng.normal(size=9), rng.random(9)
+        assert np.allclose(quality._tree(g, h), plain_tree(g, h))
+        g, h = rng.normal(size=(4, 5)), rng.random((4, 5))
+        own, table = quality._quadrants(g, h)
+        score = lambda a: a[0] ** 2 / (a[1] + 1.0)
+        best = -1.0
+        for i in range(1, 4):
+            for j in range(1, 5):
+                quads = [(slice(0, i), slice(0, j)), (slice(0, i), slice(j, 5)), (slice(i, 4), slice(0, j)), (slice(i, 4), slice(j, 5))]
+                best = max(best, sum(score((g[q].sum(), h[q].sum())) for q in quads))
+        assert abs(own - (best - score((g.sum(), h.sum())))) < 1e-9 and len(np.unique(table.round(12))) <= 4
+
+
+def test_quality_features_and_sum_of_tables():
+    text = "The cat | the cat. HELLO!! 42 $5 é\nthe cat\nthe cat"
+    f = dict(zip(quality.FEATURES, quality.features(text), strict=True))
+    words = text.split()
+    assert f["log_chars"] == np.log1p(len(text)) and f["digit"] == 3 / len(text) and f["bar"] == 1 / len(text) and f["bang"] == 2 / len(text)
+    assert f["distinct_words"] == len(set(words)) / len(words) and f["top_word"] == max(Counter(words).values()) / len(words)
+    assert f["distinct_lines"] == 2 / 3 and f["line_words"] == len(words) / 3 and f["longest_word"] == 7
+    assert f["upper"] == sum(c.isupper() for c in text) / sum(c.isalpha() for c in text)
+    assert f["distinct_pairs"] == len(set(zip(words, words[1:], strict=False))) / (len(words) - 1)
+    rng = np.random.default_rng(0)
+    x = rng.random((300, len(quality.FEATURES)))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    m = quality.fit(x, y, rounds=10, pair_rounds=30)
+    for row, got in zip(x[:40], m.score(x[:40]), strict=True):
+        bins = [sum(c <= v for c in m.cuts[i]) for i, v in enumerate(row)]
+        margin = m.bias + sum(m.single[i][b] for i, b in enumerate(bins)) + sum(t[m.coarse[i][bins[i]]][m.coarse[j][bins[j]]] for i, j, t in m.pairs)
+        assert abs(got - 1 / (1 + np.exp(-margin))) < 1e-9
+    assert (0, 1) in [(i, j) for i, j, _ in m.pairs] and np.mean((m.score(x) > 0.5) == y) > 0.9  # only the pair tells
