@@ -19,7 +19,9 @@ from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder. Documents that come in fewer splits than there are cores (a small file) are dealt out first."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name == "documents" and df.rdd.getNumPartitions() < cores else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

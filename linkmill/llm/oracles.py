@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from linkmill.llm.secret_scan import KINDS, LEAST, LIVE_LENGTH, OWNERS, PATTERNS
-
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -37,8 +35,15 @@ r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM r JOIN l ON
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) USING (doc_id)"""
 
 
+#: As the contract has them: kinds, patterns (group 1: the value) and least lengths; the rest is the method's own rule.
+KINDS = ("assign", "access", "hex")
+SECRET_PATTERNS = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "(AKIA[A-Z0-9]+)", "([0-9a-f]+)")
+LEAST = (6, 20, 24)
+OWNERS, REPOSITORIES, LIVE_LENGTH = 3, 100, 12
+
+
 def _found(k: int) -> str:
-    p = PATTERNS[k].replace("'", "''")
+    p = SECRET_PATTERNS[k].replace("'", "''")
     length = lambda part: f"coalesce(list_sum(list_transform({part}, lambda v: length(v))), 0)"
     return f"""SELECT doc_id, owner, {k} AS kind, ({length("p[1:i]")} + {length("m[1:i - 1]")})::BIGINT AS a, length(m[i]) AS n, v[i] AS value
  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, owner, string_split_regex(text, '{p}') AS p, regexp_extract_all(text, '{p}', 0) AS m, regexp_extract_all(text, '{p}', 1) AS v FROM d)) WHERE length(v[i]) >= {LEAST[k]}"""
@@ -49,7 +54,7 @@ _NAME = "['" + "','".join((*KINDS, "live")) + "'][kind + 1] || ':' || a || ':' |
 SECRETS = f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents),
 f AS ({" UNION ALL ".join(map(_found, range(len(KINDS))))}),
-o AS (SELECT value FROM f GROUP BY value HAVING count(DISTINCT owner) < {OWNERS}),
+o AS (SELECT value FROM f GROUP BY value HAVING count(DISTINCT owner) < {OWNERS} AND count(DISTINCT owner || '/' || coalesce(doc_id::VARCHAR, '')) < {REPOSITORIES}),
 s AS (SELECT doc_id, kind, a, a + n AS z FROM f),
 live AS (SELECT DISTINCT doc_id, {len(KINDS)} AS kind, a + n - length(value) AS a, a + n AS z FROM f JOIN o USING (value) WHERE length(value) >= {LIVE_LENGTH} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')),
 g AS (SELECT doc_id, {_COUNTS}, string_agg({_NAME}, ',' ORDER BY a, kind) AS base FROM s GROUP BY doc_id),

@@ -2,12 +2,13 @@ r"""Secret scans by corpus-wide ownership frequency, with DataFrame operations a
 
 Patterns give candidates with their places: matches and the pieces between them alternate, so running sums of their
 lengths are the places. Each candidate's value is hashed; over the whole corpus a hash is counted by distinct
-repositories (documents) and distinct owners (sources). A value that OWNERS or more owners hold is a widely copied
-example; one that fewer hold and that looks random is a live credential, and its value becomes a span of kind `live`.
+repositories (documents) and distinct owners (sources). A value that OWNERS or more owners hold, or REPOSITORIES or more
+repositories of whatever owners, is a widely copied example; any other one that looks random is a live credential, and its
+value becomes a span of kind `live`.
 
-The texts are scanned once, to a digest of the matches, kept in the shared folder. Counting reduces (hash, owner,
-repository) step by step, with partial sums before each exchange; hashes meet their candidates again under SALTS salts, so
-a value that a third of all documents share is spread over tasks.
+The texts are scanned once, to a digest of the matches, kept in the shared folder. Rows without a match go no further.
+Counting reduces (hash, owner, repository) step by step, with partial sums before each exchange. The hashes of examples, few
+beside all, meet the candidates under SALTS salts, so a value that a third of all documents share is spread over tasks.
 
 Places are in code points, ends exclusive. Null and empty texts have no spans. Repeated rows keep a result each. A null
 owner counts as an owner of its own. Texts of any length are scanned whole. Other columns of the input are not read, so
@@ -29,8 +30,8 @@ PATTERNS = (
     r"""([0-9a-f]{24,})""",  # likewise
 )
 LEAST = (6, 20, 24)
-#: Owners from which a value counts as widely copied, and the least length of a live-looking one.
-OWNERS, LIVE_LENGTH = 3, 12
+#: Owners and repositories from which a value counts as widely copied, and the least length of a live-looking one.
+OWNERS, REPOSITORIES, LIVE_LENGTH = 3, 100, 12
 SALTS = 16
 SPAN = "struct<start: int, kind: int, end: int, value_start: int, hash: bigint, random: boolean>"
 
@@ -68,14 +69,16 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
 
 
-def classified(found: DataFrame, owners: int = OWNERS) -> DataFrame:
+def classified(found: DataFrame, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
     """found (with __row, a number of each row) and live: those of its base spans that are owner-specific and look random."""
     spread = lambda row: F.pmod(F.xxhash64(row), F.lit(SALTS))
-    stats = ownership(found).where(F.col("n_owners") < owners).select("hash", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    copied = ownership(found).where((F.col("n_owners") >= owners) | (F.col("n_repositories") >= repositories)).select("hash", salts)
     each = found.where(F.size("base") > 0).select("__row", F.explode("base").alias("s")).where("s.random").select("__row", "s", F.col("s.hash").alias("hash"), spread("__row").alias("salt"))
-    live = each.join(stats, ["hash", "salt"]).groupBy("__row").agg(F.array_sort(F.collect_list("s")).alias("live"))
+    live = each.join(copied, ["hash", "salt"], "left_anti").groupBy("__row").agg(F.array_sort(F.collect_list("s")).alias("live"))
     none = F.array().cast(f"array<{SPAN}>")
-    return found.join(live, "__row", "left").withColumn("live", F.coalesce("live", none))
+    matched = found.where(F.size("base") > 0).join(live, "__row", "left").withColumn("live", F.coalesce("live", none))
+    return matched.unionByName(found.where(F.size("base") == 0).withColumn("live", none))
 
 
 def joined(spans: Column) -> Column:

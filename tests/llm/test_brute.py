@@ -217,6 +217,13 @@ def test_secrets_ownership_and_redaction(spark):
     assert text[0] == ("see [EXAMPLE] here", 18) and text[9] == ("my [SECRET] 🙂 end", 17) and text[10] == (None, None)
 
 
+def test_secrets_held_by_one_owner_in_many_repositories(spark):
+    data = [(i, "example token=abcd1234efgh5678", "en", "hot", 30) for i in range(120)] + [(500 + i, "own token=zyxw9876vuts5432", "en", "hot", 30) for i in range(20)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    live = {r.doc_id: len(r.live) for r in secret_scan.secret_scan(docs).collect()}
+    assert all(live[i] == (i >= 500) for i, *_ in data)
+
+
 def plain_components(data, width=4, percent=85):
     sets = []
     for _, t in data:
