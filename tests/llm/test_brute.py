@@ -25,10 +25,33 @@ TEXTS = st.lists(st.sampled_from(ALPHABET), max_size=9).map("".join)
 def test_token_counts_of_every_prefix(text, limit):
     c = token_counts.counter(token_counts.default_path())
     want = [len(c.library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
-    ends, counts = c.table(text)
+    counts = c.table(text)
     assert c.count(text) == want[-1]
-    assert [c.at(text, ends, counts, i) for i in range(len(text) + 1)] == want
-    assert c.cut(text, limit) == max(i for i, n in enumerate(want) if n <= limit)
+    assert counts.tolist() == want
+    assert token_counts.cut(counts, limit) == max(i for i, n in enumerate(want) if n <= limit)
+
+
+class Encodes:
+    """The library without its encoder."""
+
+    def __init__(self, library):
+        self.pre_tokenizer = library.pre_tokenizer
+
+
+@pytest.mark.parametrize("kind", ["cjk", "special", "base64", "arabic"])
+def test_token_counts_of_long_texts_without_the_encoder(kind):
+    rng, c = random.Random(9), token_counts.PrefixCounter(token_counts.default_path())
+    text = {
+        "cjk": lambda: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(60_000)), "special": lambda: "some words " * 4000 + "<|endoftext|> more " + "of them " * 4000,
+        "base64": lambda: "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(60_000)), "arabic": lambda: "".join(rng.choice("ابتثجحخد ") for _ in range(60_000)),
+    }[kind]()
+    want = len(c.library.encode(text, add_special_tokens=False).ids)
+    some = [0, 1, 2, 1000, 20_001, len(text) - 1]
+    ends = [len(c.library.encode(text[:i], add_special_tokens=False).ids) for i in some]
+    c.library = Encodes(c.library)
+    table = c.table(text)
+    assert len(table) == len(text) + 1 and table[-1] == c.count(text) == want and [table[i] for i in some] == ends
+    assert max(map(len, [*c.counts, *c.words, ""])) <= token_counts.SHORT
 
 
 @given(TEXTS)
