@@ -30,8 +30,8 @@ from linkmill.llm._base import cut, map_batches, table
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Pre-tokens that a worker remembers the ids of, in two generations of half as many each.
-CACHE = 1_200_000
+#: Pre-tokens that a worker remembers the ids of, in two generations of half as many each, and characters of the longest one.
+CACHE, SHORT = 1_200_000, 48
 #: Text of letters on which all Unicode versions agree: there the pre-tokens are those of PIECE, whatever stands between them.
 FAST = re.compile("[\t\n\r -~¡-©«-±´¶-¸»¿-įı-ſ]*")
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
@@ -64,7 +64,7 @@ class Encoder:
             own.update(zip(new, (self.pack(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
             if len(self.young) + len(own) > CACHE // 2:
                 self.young, self.old = {}, self.young
-            self.young.update(own)
+            self.young.update((p, f) for p, f in own.items() if len(p) <= SHORT)
             found = [own[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
         return b"".join(found)
 
@@ -271,7 +271,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     salted = parts.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts[F.col("length").cast("int")].cast("long")))
     groups = salted.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
     before = groups.select("length", "__salt", (F.sum("__n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("__n")).alias("__before"))
-    inside = Window.partitionBy("length", "__salt").orderBy("doc_id", "piece")
+    inside = Window.partitionBy("length", "__salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
         salted.withColumn("__inside", F.row_number().over(inside) - 1)
         .join(before, ["length", "__salt"])

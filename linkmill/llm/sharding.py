@@ -7,7 +7,7 @@ tolerance. A boundary between two texts is preferred, which keeps a group of equ
 is so large that no such boundary is near enough does the search go on between the ids of that group. Then the rows are
 exchanged once, to several ranges for each shard, and sorted there; a row's slot is its rank in its shard.
 
-A round moves one row for each interval between boundaries, whose number depends on the number of ranges and not on the
+A round moves one row of each task for each interval between boundaries, whose number depends on the number of ranges and not on the
 corpus. Null texts count as empty ones (size 1); repeated rows are rows of their own, next to each other; null ids come
 first. An empty table gives an empty result. Other columns of the input are not read, so their names cannot clash.
 """
@@ -113,6 +113,38 @@ def _assign(rows: DataFrame, boundaries: list[int], columns: list[str], ddl: str
     return map_batches(rows, ["h", "d", *columns], f"h long, d long, {ddl}, at long", make)
 
 
+def _counted(rows: DataFrame, boundaries: list[int]) -> list:
+    """(at, rows, bytes, least, most) of each interval between boundaries that holds a key. A task folds its rows to one for
+    each interval, so that only these are exchanged and sorted."""
+    pairs = [unpack(b) for b in boundaries]
+    shared = rows.sparkSession.sparkContext.broadcast((np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)))
+
+    def make():
+        (bh, bd), held = shared.value, {}
+
+        def work(batch):
+            if batch is None:
+                if held:
+                    yield [list(held), *([x[k] for x in held.values()] for k in range(2)), *([x[k][j] for x in held.values()] for k in (2, 3) for j in (0, 1))]
+                return
+            h, d, size = (c.to_numpy() for c in batch.columns)
+            order = np.lexsort((d, h))
+            h, d, size = h[order], d[order], size[order]
+            at = intervals(h, d, bh, bd)  # grows with the key
+            start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else at
+            end = np.append(start[1:], len(at))
+            total = np.add.reduceat(size, start) if len(at) else at
+            for i, a, b, n in zip(at[start].tolist(), start.tolist(), end.tolist(), total.tolist(), strict=True):
+                low, high = (int(h[a]), int(d[a])), (int(h[b - 1]), int(d[b - 1]))
+                old = held.get(i, (0, 0, low, high))
+                held[i] = (old[0] + b - a, old[1] + n, min(old[2], low), max(old[3], high))
+
+        return work
+
+    folded = map_batches(rows, ["h", "d", "size"], "at long, c long, n long, lh long, ld long, mh long, md long", make, ended=True)
+    return folded.groupBy("at").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.min(F.struct("lh", "ld")).alias("least"), F.max(F.struct("mh", "md")).alias("most")).collect()
+
+
 def splitters(rows: DataFrame, ranges: int, per_shard: int, total: int, probes: int = PROBES) -> list[int]:
     """ranges - 1 boundaries over rows (h, d, size), each per_shard-th of them within the shards' tolerance."""
     one, shard = total / ranges, total / ranges * per_shard
@@ -127,8 +159,7 @@ def splitters(rows: DataFrame, ranges: int, per_shard: int, total: int, probes:
         keys = sorted({k for s in ([open_[0]] if first else open_) for k in s.probes(probes * (len(open_) if first else 1))})
         keys = sorted({min(k, _WORD * _WORD - 1) for k in keys} | {0})
         first = False
-        key = F.struct("h", "d")
-        counted = _assign(rows, keys, ["size"], "size long").groupBy("at").agg(F.sum("size").alias("n"), F.min(key).alias("least"), F.max(key).alias("most")).collect()
+        counted = _counted(rows, keys)
         size, least, most = [0] * (len(keys) + 1), [None] * (len(keys) + 1), [None] * (len(keys) + 1)
         for r in counted:
             size[r["at"]], least[r["at"]], most[r["at"]] = r.n, pack(*r.least), pack(*r.most)
@@ -155,7 +186,7 @@ def histogram_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     found = splitters(rows.select("h", "d", "size"), shards * per_shard, per_shard, total) if total else []
     kind = docs.schema["doc_id"].dataType.simpleString()
     placed = _assign(rows, found, ["doc_id", "size", "text_crc32"], f"doc_id {kind}, size long, text_crc32 long")
-    counts = {r["at"]: r.n for r in placed.groupBy("at").agg(F.count("*").alias("n")).collect()}  # a row for each range
+    counts = {r["at"]: r.c for r in _counted(rows, found)} if total else {}
     before, base = [], 0
     for i in range(shards * per_shard):
         base = 0 if i % per_shard == 0 else base

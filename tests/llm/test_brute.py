@@ -61,12 +61,20 @@ def test_packing_ids(text):
     assert np.frombuffer(e.encode(text), "<u4").tolist() == e.library.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_remembers_short_pieces_only():
+    e = packing.Encoder(packing.default_path())
+    text = "short " + "x" * 500 + " " + "y" * 49 + " words"
+    assert np.frombuffer(e.encode(text), "<u4").tolist() == e.library.encode(text, add_special_tokens=False).ids
+    assert set(e.young) == {"short", "words"}
+
+
 def test_packing_round_trip(spark, nasty):
     library = packing.encoder(packing.default_path()).library
     got = packing.pack(nasty, capacity=64).collect()
     texts = {r[0]: r[1] for r in rows()}
+    whole = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts.items() if i is not None}
     for r in got:
-        ids = [*library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0] if r.doc_id is not None else None
+        ids = whole.get(r.doc_id)
         if ids:
             part = ids[64 * r.piece : 64 * r.piece + 64]
             assert (r.start, r.length, r.ids_crc32) == (64 * r.piece, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
@@ -124,6 +132,29 @@ def test_packing_of_many_lengths_follows_the_program():
     assert total <= 1.01 * sum(n for _, n in solution)
 
 
+@pytest.mark.parametrize("middle", [5.5, 6.2])
+def test_packing_of_a_real_histogram_against_best_fit(middle):
+    """Over 1,000 lengths, as texts have them: not more sequences than best-fit needs, and next to the bound."""
+    from bisect import bisect_left, insort
+
+    sizes = np.clip(np.exp(np.random.default_rng(3).normal(middle, 0.9, 10_000)).astype(int), 1, 2048)
+    lengths, counts = np.unique(sizes, return_counts=True)
+    assert len(lengths) > 1000
+    made = packing.plan(lengths, counts)
+    used = Counter()
+    for config, n in made:
+        assert sum(config) <= 2048
+        used.update({x: n * k for x, k in Counter(config).items()})
+    assert used == dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+    rooms, best_fit = [], 0
+    for x in sorted(sizes.tolist(), reverse=True):
+        i = bisect_left(rooms, x)
+        best_fit += i == len(rooms)
+        insort(rooms, (rooms.pop(i) if i < len(rooms) else 2048) - x)
+    total = sum(n for _, n in made)
+    assert total <= best_fit and total <= -(-int(sizes.sum()) // 2048) + 1
+
+
 def test_knapsack_pricing_is_exact():
     rng = np.random.default_rng(1)
     for _ in range(20):
@@ -317,6 +348,17 @@ def test_signature_trees_lose_no_pair():
     assert want and want <= got and len(got) <= 2 * len(want)
 
 
+def test_sharding_counts_by_interval(spark):
+    rng = random.Random(3)
+    rows_ = [(rng.choice([-5, 0, 7, rng.randrange(-(2**63), 2**63)]), rng.randrange(-(2**63), 2**63), rng.randrange(1, 99)) for _ in range(700)]
+    bounds = sorted({0, *(sharding.pack(h, d) for h, d, _ in rng.sample(rows_, 12))})
+    got = {r["at"]: (r.c, r.n, tuple(r.least), tuple(r.most)) for r in sharding._counted(spark.createDataFrame(rows_, "h long, d long, size long").repartition(3), bounds)}
+    want = {}
+    for h, d, size in rows_:
+        want.setdefault(sum(b <= sharding.pack(h, d) for b in bounds), []).append((h, d, size))
+    assert got == {i: (len(x), sum(r[2] for r in x), min(r[:2] for r in x), max(r[:2] for r in x)) for i, x in want.items()}
+
+
 def test_sharding_laws(spark):
     random.seed(2)
     texts = ["hot copy " * 20] * 300 + [f"text {i} " * random.randint(1, 40) for i in range(600)]
