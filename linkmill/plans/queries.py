@@ -168,26 +168,11 @@ def er_semi_pairs(spark, sf_dir):
     return candidates.pairs(kept, R.truth(spark, sf_dir).select("s1_id").distinct())
 
 
-@query()
+@query(S.w(S.SCORED) + "SELECT s1_id, other_id, key_hits, cheap_score, key_weight FROM scored")
 def er_scored_candidates(spark, sf_dir):
     return candidates.candidates(R.norm(spark, sf_dir))
 
 
-@query()
-def er_keys_capped_full(spark, sf_dir):
-    return candidates.capped_keys(candidates.keys(R.norm(spark, sf_dir)))
-
-
-@query()
-def er_pairs_full(spark, sf_dir):
-    return candidates.pairs(candidates.capped_keys(candidates.keys(R.norm(spark, sf_dir))))
-
-
-@query()
-def er_candidates_full(spark, sf_dir):
-    return R.full_candidates(spark, sf_dir)
-
-
 # Pairs and features
 
 
@@ -250,11 +235,25 @@ def er_jaro_winkler(spark, sf_dir):
     return df.where("a <> '' and b <> ''").withColumn("score", F.round(similarity("jaro_winkler", F.col("a"), F.col("b")), 6))
 
 
-@query()
+def _name_pairs(spark, sf_dir):
+    return features.enriched(R.rarity_candidates(spark, sf_dir), R.norm(spark, sf_dir)).select(F.col("q_name_core").alias("a"), F.col("o_name_core").alias("b")).distinct()
+
+
+_NAMES = "np AS (SELECT DISTINCT a.name_core AS a, o.name_core AS b FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm o ON o.entity_id = c.other_id)"
+_SORTED = lambda x: S.join(f"list_sort({S.words(x)})")
+
+
+@query(S.w(S.CAND, _NAMES, S.lcs("SELECT a AS x, b AS y FROM np UNION SELECT " + _SORTED("a") + ", " + _SORTED("b") + " FROM np UNION " + S.rests("np", "a", "b")))
+    + f"SELECT a, b, round({S.ratio('a', 'b', 'r.n')}, 6) AS ratio, round({S.ratio(_SORTED('a'), _SORTED('b'), 't.n')}, 6) AS token_sort, round({S.token_set('a', 'b', 's.n')}, 6) AS token_set FROM np"
+    + f" JOIN lcs r ON r.x = a AND r.y = b JOIN lcs t ON t.x = {_SORTED('a')} AND t.y = {_SORTED('b')} JOIN lcs s ON s.x = {S.rest('a', 'b')} AND s.y = {S.rest('b', 'a')}")
 def er_similarities(spark, sf_dir):
-    df = features.enriched(R.full_candidates(spark, sf_dir), R.norm(spark, sf_dir))
-    a, b = F.col("q_name_core"), F.col("o_name_core")
-    return df.select("s1_id", "other_id", *(F.round(similarity(n, a, b), 6).alias(n) for n in ("ratio", "token_set", "token_sort", "partial")))
+    a, b = F.col("a"), F.col("b")
+    return _name_pairs(spark, sf_dir).select("a", "b", *(F.round(similarity(n, a, b), 6).alias(n) for n in ("ratio", "token_sort", "token_set")))
+
+
+@query()
+def er_partial_ratio(spark, sf_dir):
+    return _name_pairs(spark, sf_dir).withColumn("score", F.round(similarity("partial", F.col("a"), F.col("b")), 6))
 
 
 @query()
@@ -414,11 +413,6 @@ def er_recall(spark, sf_dir):
     return evaluate.recall(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
 
 
-@query()
-def er_recall_full(spark, sf_dir):
-    return evaluate.recall(R.full_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
-
-
 @query(_RC + "SELECT country, round(count(c.s1_id) / count(*)::DOUBLE, 6) AS recall FROM truth t JOIN ids USING (s1_id) LEFT JOIN cand c ON c.s1_id = t.s1_id AND c.other_id = t.other_id GROUP BY country")
 def er_recall_by_country(spark, sf_dir):
     return evaluate.recall_by_country(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
@@ -434,19 +428,16 @@ def er_oracle_f05(spark, sf_dir):
     return evaluate.oracle_f05(R.rarity_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
 
 
-@query()
-def er_oracle_f05_full(spark, sf_dir):
-    return evaluate.oracle_f05(R.full_candidates(spark, sf_dir), R.truth(spark, sf_dir), R.ids(spark, sf_dir))
-
-
-@query(S.w(S.CAND, S.TRUTH) + "SELECT * FROM truth t WHERE NOT EXISTS (FROM cand c WHERE c.s1_id = t.s1_id AND c.other_id = t.other_id)")
+@query(S.w(S.CAND, S.TRUTH, "best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY key_weight DESC, other_id) = 1)") + "SELECT * FROM truth t WHERE NOT EXISTS (FROM best c WHERE c.s1_id = t.s1_id AND c.other_id = t.other_id)")
 def er_missed_pairs(spark, sf_dir):
-    return candidates.missed_pairs(R.truth(spark, sf_dir), R.rarity_candidates(spark, sf_dir))
+    """True pairs that the best candidate of each s1 misses."""
+    return candidates.missed_pairs(R.truth(spark, sf_dir), candidates.top(R.rarity_candidates(spark, sf_dir), 1, "key_weight"))
 
 
-@query(S.w(S.PRED, S.TRUTH) + "SELECT s1_id, other_id FROM truth EXCEPT SELECT s1_id, other_id FROM pred")
+@query(S.w(S.PRED, S.TRUTH) + "SELECT s1_id, other_id FROM truth EXCEPT SELECT s1_id, other_id FROM (SELECT * FROM pred QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, other_id) = 1)")
 def er_matches_outside_candidates(spark, sf_dir):
-    return validate.outside(R.truth(spark, sf_dir), R.predictions(spark, sf_dir))
+    """True pairs that are not among the best predictions of each s1."""
+    return validate.outside(R.truth(spark, sf_dir), candidates.top(R.predictions(spark, sf_dir), 1, "prob"))
 
 
 @query("SELECT DISTINCT 'S' || (1 + doc_id % 3) || '-' || doc_id AS s1_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -491,7 +482,7 @@ def er_alias_learned(spark, sf_dir):
 # Splits, sinks, sources, validation
 
 
-@query()
+@query(S.w(S.TRUTH) + f"SELECT s1_id, CASE WHEN {S.crc32('s1_id' + " || '#fold'")} % {vocab.VAL_MOD} = 0 THEN 'val' ELSE 'fit' END AS fold, ({S.crc32('s1_id')} % {vocab.N_SHARDS})::SMALLINT AS shard FROM ids")
 def er_splits(spark, sf_dir):
     return splits.splits(R.ids(spark, sf_dir), "s1_id")
 

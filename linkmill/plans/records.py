@@ -11,13 +11,20 @@ from linkmill.operators import candidates, normalize
 
 #: Regions of the derived addresses, for the queries that look regions up.
 ALIASES = {"src1": "north", "src2": "south", "src3": "north", "src4": "src4"}
-#: Queries that have SQL run with its small caps, which bind on small tables too; all others run with the limits of vocab.
-CAP, PREFILTER = 100, 20
+#: Limits of the registered queries and of their SQL.
+CAP, PREFILTER = vocab.BLOCK_CAP, vocab.PREFILTER_K
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; a small file, in fewer splits than there are cores, is dealt out first."""
+    docs, cores = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
-    words = F.split(F.trim(F.substring_index(F.coalesce("text", F.lit("")), "\x00", 1)), r"\s+")
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
+    # ten words are used; the eleventh piece is the rest of the text, uncut
+    words = F.slice(F.split(F.trim(F.substring_index(F.coalesce("text", F.lit("")), "\x00", 1)), r"\s+", 11), 1, 10)
     source = F.pmod(F.col("doc_id"), F.lit(3)) + 1
     address = F.concat(F.pmod(F.coalesce("n_chars", F.lit(0)), F.lit(50)).cast("string"), F.lit(" "), F.array_join(F.slice("w", 5, 6), " "), F.lit(", "), F.coalesce("source", F.lit("")))
     return docs.withColumn("w", words).select(
@@ -37,7 +44,7 @@ def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of source 1 and others of one language and one cleaned text; an other record belongs to the smallest s1_id."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _documents(spark, sf_dir)
     source = (F.pmod(F.col("doc_id"), F.lit(3)) + 1).cast("string")
     e = docs.select(F.concat(F.lit("S"), source, F.lit("-"), F.col("doc_id").cast("string")).alias("id"), source.alias("source"), "lang", F.md5(basic_clean(F.coalesce("text", F.lit(""))).cast("binary")).alias("h"))
     first = e.where("source = '1'").groupBy("lang", "h").agg(F.min("id").alias("s1_id"))
@@ -50,11 +57,6 @@ def rarity_candidates(spark: SparkSession, sf_dir: str, cap: int = CAP, prefilte
     return found.withColumn("cheap_score", F.round(F.col("key_weight") / (1 + F.col("key_weight")), 6))
 
 
-def full_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """rarity_candidates at the limits of the library."""
-    return rarity_candidates(spark, sf_dir, vocab.BLOCK_CAP, vocab.PREFILTER_K)
-
-
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("other_id").orderBy(F.desc("prob"), "s1_id")
     scored = rarity_candidates(spark, sf_dir).select("s1_id", "other_id", F.col("cheap_score").alias("prob"))

@@ -86,6 +86,55 @@ cand AS (SELECT *, round(key_weight / (1 + key_weight), 6) AS cheap_score FROM p
   QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY key_weight DESC, other_id) <= {PREFILTER})"""
 PRED = CAND + """,
 pred AS (SELECT s1_id, other_id, cheap_score AS prob FROM cand QUALIFY row_number() OVER (PARTITION BY other_id ORDER BY cheap_score DESC, s1_id) = 1)"""
+
+
+def crc32(x: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({x}, ''), lambda c: unicode(c)::BIGINT)), lambda crc, byte: {bits}), 4294967295::BIGINT)"
+
+
+def lcs(pairs: str) -> str:
+    """lcs (x, y, n): length of the longest common subsequence of each pair, row after row of the plain dynamic program."""
+    row = "list_transform(row, lambda v, i: CASE WHEN i > 1 AND xs[i - 1] = ch[1] THEN row[i - 1] + 1 ELSE v END)"
+    grown = f"list_reduce(list_transform({row}, lambda v: [v]), lambda p, v: list_append(p, greatest(p[-1], v[1])))"
+    return f"""
+lp AS (SELECT x, y, list_transform(string_split(x, ''), lambda c: unicode(c)::BIGINT) AS xs, list_transform(string_split(y, ''), lambda c: [unicode(c)::BIGINT]) AS ys FROM ({pairs})),
+lcs AS (SELECT x, y, CASE WHEN x = '' OR y = '' THEN 0 ELSE (list_reduce(list_concat([list_transform(range(len(xs) + 1), lambda i: 0::BIGINT)], ys), lambda row, ch: {grown}))[-1] END AS n FROM lp)"""
+
+
+def ratio(a: str, b: str, n: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {n} / (length({a}) + length({b})) END"
+
+
+def rest(a: str, b: str) -> str:
+    """The sorted words of a that b lacks."""
+    return join(f"list_sort(list_filter(list_distinct({words(a)}), lambda t: NOT list_contains({words(b)}, t)))")
+
+
+def rests(table: str, a: str, b: str) -> str:
+    return f"SELECT {rest(a, b)} AS x, {rest(b, a)} AS y FROM {table}"
+
+
+def token_set(a: str, b: str, n: str) -> str:
+    """n: the common subsequence of both rests."""
+    common = f"length({join(f'list_intersect({words(a)}, {words(b)})')})"
+    x, y = f"length({rest(a, b)})", f"length({rest(b, a)})"
+    gap = f"({common} > 0)::INT"
+    part = lambda r: f"CASE WHEN {common} > 0 THEN 100.0::DOUBLE * (1 - (1 + {r})::DOUBLE / ({common} + {common} + 1 + {r})) ELSE 0 END"
+    full = f"100.0::DOUBLE * (1 - ({x} + {y} - 2 * {n})::DOUBLE / (2 * ({common} + {gap}) + {x} + {y}))"
+    return f"CASE WHEN len({words(a)}) = 0 OR len({words(b)}) = 0 THEN 0.0::DOUBLE WHEN {common} > 0 AND ({x} = 0 OR {y} = 0) THEN 100.0 ELSE greatest({full}, {part(x)}, {part(y)}) END"
+
+
+SCORED = (
+    CAND
+    + f""",
+sp AS (SELECT c.s1_id, c.other_id, key_hits, key_weight, a.name_core AS an, o.name_core AS bn, a.addr_core AS aa, o.addr_core AS ba, a.addr_first_num <> '' AND a.addr_first_num = o.addr_first_num AS num
+  FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm o ON o.entity_id = c.other_id),{lcs(rests("sp", "an", "bn") + " UNION " + rests("sp", "aa", "ba"))},
+sc AS (SELECT s1_id, other_id, key_hits, key_weight, round((0.5::DOUBLE * {token_set("an", "bn", "l.n")} + 0.3::DOUBLE * {token_set("aa", "ba", "m.n")} + CASE WHEN num THEN 20.0::DOUBLE ELSE 0 END) / 100, 9) AS cheap_score FROM sp
+  JOIN lcs l ON l.x = {rest("an", "bn")} AND l.y = {rest("bn", "an")} JOIN lcs m ON m.x = {rest("aa", "ba")} AND m.y = {rest("ba", "aa")}),
+scored AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cheap_score DESC, other_id) <= {vocab.TOP_K})"""
+)
 TRUTH = f"""
 e AS (SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS id, 1 + doc_id % 3 AS source, lang, md5({clean("text")}) AS h FROM documents),
 truth AS (SELECT s1_id, e.id AS other_id FROM e JOIN (SELECT lang, h, min(id) AS s1_id FROM e WHERE source = 1 GROUP BY ALL) USING (lang, h) WHERE e.source <> 1),

@@ -170,7 +170,7 @@ def test_queries_against_sql(spark):
     for t in "region nation customer part orders documents labels".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     plain = lambda v: None if v is None or v != v else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
-    for name in ("er_norm", "er_keys_all", "er_candidates", "er_native_features", "er_threshold_curve", "er_prediction_report", "er_recall", "er_alias_learned", "er_id_list_file", "er_validator_summary", "er_norm_shares"):
+    for name in ("er_norm", "er_keys_all", "er_candidates", "er_native_features", "er_threshold_curve", "er_prediction_report", "er_recall", "er_alias_learned", "er_id_list_file", "er_similarities", "er_scored_candidates", "er_splits", "er_missed_pairs", "er_matches_outside_candidates", "er_validator_summary", "er_norm_shares"):
         df = Q.queries()[name](spark, DATA)
         columns = sorted(df.columns)
         got = sorted(str([plain(r[c]) for c in columns]) for r in df.collect())
@@ -178,15 +178,25 @@ def test_queries_against_sql(spark):
         assert got == sorted(str([plain(v) for v in r]) for r in want), name
 
 
-def test_queries_without_sql_run_at_the_limits_of_the_library(spark, tmp_path):
+def test_queries_run_at_the_limits_of_the_library(spark, tmp_path):
     docs = [(i, "alpha bravo charlie delta echo foxtrot golf hotel", "en", "s", 50) for i in range(600)]  # 200 queries, a group of 400 others
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     per_s1 = lambda name: {r["count"] for r in Q.queries()[name](spark, str(tmp_path)).groupBy("s1_id").count().collect()}
     assert per_s1("er_scored_candidates") == per_s1("er_features") == {vocab.TOP_K}
-    assert per_s1("er_similarities") == per_s1("er_candidates_full") == {vocab.PREFILTER_K}
-    assert per_s1("er_pairs_full") == {400}
-    assert Q.queries()["er_recall_full"](spark, str(tmp_path)).first().n_cand_pairs == 200 * vocab.PREFILTER_K
-    assert Q.queries()["er_keys_capped_full"](spark, str(tmp_path)).where("n_index = 400").count() > 0
+    assert per_s1("er_candidates") == per_s1("er_native_features") == {vocab.PREFILTER_K}
+    assert per_s1("er_pairs_key_hits") == {400}
+    assert Q.queries()["er_recall"](spark, str(tmp_path)).first().n_cand_pairs == 200 * vocab.PREFILTER_K
+    assert Q.queries()["er_keys_capped"](spark, str(tmp_path)).where("n_index = 400").count() > 0
+
+
+def test_tight_caps_drop_groups(spark, tmp_path):
+    docs = [(i, f"alpha bravo charlie delta {'echo' if i < 9 else f'name{i}'} foxtrot golf hotel", "en", "s", 50) for i in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    norm = Q.R.norm(spark, str(tmp_path))
+    kept = candidates.capped_keys(candidates.keys(norm), 6)
+    assert 0 < kept.count() < candidates.capped_keys(candidates.keys(norm)).count()
+    assert kept.agg({"n_index": "max"}).first()[0] <= 6
+    assert {r["count"] for r in candidates.top(candidates.pairs(kept), 2, "key_weight").groupBy("s1_id").count().collect()} == {2}
 
 
 def test_plans_stay_in_the_jvm(spark):
