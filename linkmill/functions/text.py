@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkmill.functions import vocab
-from linkmill.functions.translit import transliterate
+from linkmill.functions.translit import latin_letters, transliterate
 
 _ENDING = r"\.(?:" + "|".join(vocab.DOMAIN_ENDINGS) + r")\b"
 URL_PARTS = r"(?i)https?://|www\.|" + _ENDING
 HAS_URL = r"(?i)https?://|www\.|[a-z0-9]" + _ENDING
+OTHER_LETTER = rf"[\p{{L}}&&[^{latin_letters()}]]"
 STOP_PHRASES = r"\b(?:" + "|".join(vocab.NAME_STOP_PHRASES) + r")\b"
 
 
@@ -59,12 +60,14 @@ def has_url(raw) -> Column:
 
 
 def nonlatin(raw) -> Column:
-    return _text(raw).rlike(r"[\p{L}&&[^\p{IsLatin}]]").cast("byte")
+    """Whether a letter's name in the character tables is not that of a Latin letter."""
+    return (_text(raw).rlike(r"[^\x00-\x7F]") & _text(raw).rlike(OTHER_LETTER)).cast("byte")
 
 
 def address_parts(raw) -> Column:
-    """Cleaned, non-empty parts between commas."""
-    return F.filter(F.transform(F.split(_text(raw), ","), basic_clean), lambda p: p != "")
+    """Cleaned, non-empty parts between commas: the text is cleaned as a whole, but for commas, and then split."""
+    text = F.regexp_replace(F.replace(F.lower(transliterate(_text(raw))), F.lit("&"), F.lit(" and ")), "[^a-z0-9,]+", " ")
+    return F.array_remove(F.transform(F.split(text, ","), lambda p: F.trim(p)), "")
 
 
 def tail_parts(raw, n: int = 2) -> Column:
@@ -83,8 +86,8 @@ def address_token(t: Column) -> Column:
 
 
 def address_words(parts: Column) -> Column:
-    """The words of each part."""
-    return F.transform(parts, tokens)
+    """The words of each part; parts are clean, so that single spaces stand between words."""
+    return F.transform(parts, lambda p: F.split(p, " "))
 
 
 def address_admin(words: Column, aliases: dict[str, str]) -> Column:
@@ -97,11 +100,15 @@ def address_admin(words: Column, aliases: dict[str, str]) -> Column:
     return F.transform(words, lambda w, i: F.when(i >= F.size(words) - 2, F.try_element_at(table, name(w))))
 
 
-def address_text(words: Column, admin: Column, core: bool) -> Column:
-    """All words in normal form; with core, without those that name a region (its numbers stay)."""
-    part = F.arrays_zip(words.alias("w"), admin.alias("a"))
-    shown = lambda x: lambda t: (t != "null") & (x["a"].isNull() | is_number(t)) if core else t != "null"
-    return F.array_join(F.flatten(F.transform(part, lambda x: F.transform(F.filter(x["w"], shown(x)), address_token))), " ")
+def address_tokens(words: Column) -> Column:
+    """The words of each part in normal form, without the word `null`."""
+    return F.transform(words, lambda w: F.transform(F.filter(w, lambda t: t != "null"), address_token))
+
+
+def address_core(tokens_: Column, admin: Column, norm: Column) -> Column:
+    """All words (`norm`) but those of parts that name a region, of which numbers stay."""
+    left = F.transform(tokens_, lambda w, i: F.when(F.get(admin, i).isNull(), w).otherwise(F.filter(w, is_number)))
+    return F.when(F.size(F.array_compact(admin)) == 0, norm).otherwise(F.array_join(F.flatten(left), " "))
 
 
 def numbers(norm: Column) -> Column:

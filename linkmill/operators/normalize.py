@@ -20,12 +20,13 @@ def normalize(records: DataFrame, aliases: dict[str, str] | None = None) -> Data
         "entity_id", F.col("source").cast("byte").alias("source"), "country", T.name_norm("business_name").alias("name_norm"),
         T.has_url("business_name").alias("name_has_url"), T.nonlatin("business_name").alias("name_nonlatin"), T.address_parts("business_address").alias("__parts"),
     )
-    step = step.withColumns({"__name": T.name_words(F.col("name_norm")), "__words": T.address_words(F.col("__parts"))}).withColumn("__admin", T.address_admin(F.col("__words"), aliases or {}))
-    words, admin = F.col("__words"), F.col("__admin")
-    step = step.withColumns({
-        "name_core": T.name_core(F.col("name_norm"), F.col("__name")), "addr_norm": T.address_text(words, admin, False), "addr_core": T.address_text(words, admin, True),
-        "addr_admin": F.array_join(F.array_distinct(F.filter(admin, lambda a: a.isNotNull())), " "),
-    }).withColumn("__nums", T.numbers(F.col("addr_norm")))
+    step = step.withColumns({"__name": T.name_words(F.col("name_norm")), "__words": T.address_words(F.col("__parts"))})
+    step = step.withColumns({"__admin": T.address_admin(F.col("__words"), aliases or {}), "__tokens": T.address_tokens(F.col("__words"))})
+    admin, tokens, norm = F.col("__admin"), F.col("__tokens"), F.col("addr_norm")
+    step = step.withColumn("addr_norm", F.array_join(F.flatten(tokens), " ")).withColumns({
+        "name_core": T.name_core(F.col("name_norm"), F.col("__name")), "addr_core": T.address_core(tokens, admin, norm),
+        "addr_admin": F.array_join(F.array_distinct(F.array_compact(admin)), " "), "__nums": T.numbers(norm),
+    })
     return step.withColumns({
         "name_nospace": F.replace(F.col("name_core"), F.lit(" "), F.lit("")), "addr_nums": F.array_join("__nums", " "),
         "addr_first_num": F.coalesce(F.get("__nums", F.lit(0)), F.lit("")), "addr_empty": (F.col("addr_norm") == "").cast("byte"),

@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +67,23 @@ def test_clean(spark):
     assert [r[0] for r in df.select(T.basic_clean(F.col("t"))).collect()] == ["amicale and parenthese co", "strasse oeuvre aegir orsted", "x", ""]
 
 
+def test_other_scripts(spark):
+    texts = {
+        "Москва Щука": "moskva shchuka", "Αθήνα": "athina", "রাম": "ram", "राम": "ram", "ராம": "ram", "ગુજરાત": "gujrat",
+        "राम Москва": "ram moskva", "東京 a": "a",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(T.basic_clean(F.col("t"))).collect()] == list(texts.values())
+
+
+def test_nonlatin_goes_by_names_of_letters(spark):
+    texts = {"Àmicale Góld": 0, "ａｂｃ": 1, "1ª": 1, "राम": 1, "Я": 1, "ﬁ": 0, "東": 1, "é 12!": 0, "": 0}
+    plain = [int(any(c.isalpha() and not unicodedata.name(c, "").startswith("LATIN") for c in t)) for t in texts]
+    assert plain == list(texts.values())
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(T.nonlatin("t")).collect()] == plain
+
+
 def test_addresses(spark):
     df = normalize(frame(spark, [], [x[0] for x in ADDRESSES]), ALIASES)
     assert tuple(df.columns) == COLUMNS
