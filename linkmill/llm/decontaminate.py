@@ -7,7 +7,8 @@ All test windows are searched backward at once; rows of non-empty intervals are
 every occurrence, and the occurrences of a text are merged into removal spans.
 
 A window is `width` consecutive words of an item; an item of fewer words, but not none, is one window. The benchmark is
-shipped to the workers in blocks of at most BLOCK_CHARS characters; a larger one takes several passes, each over all texts.
+shipped to the workers in blocks of about BLOCK_CHARS characters, dealt by hashes; a larger one takes several passes, each
+over all texts, with the same results.
 Nothing is shuffled.
 
 Nulls and texts without words have no hits. Repeated rows get equal results. Texts of any length are read whole, and are
@@ -18,6 +19,7 @@ benchmark contaminates nothing. Other columns of the inputs are not read, so the
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -90,18 +92,20 @@ class FMIndex:
                 return order
             k *= 2
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of rows whose suffixes begin with each pattern (one a row, all of one length)."""
-        low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.rows, np.int64)
-        live = np.arange(len(patterns))
-        for column in range(patterns.shape[1] - 1, -1, -1):
-            s = patterns[live, column]
+    def search(self, ids: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of rows whose suffixes begin with each pattern, the `size` symbols of `ids` from each start. Only patterns
+        all of whose symbols stand in the text are searched; the others' intervals are empty."""
+        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.rows, np.int64)
+        known = np.concatenate(([0], np.cumsum(np.diff(self.first)[ids] > 0, dtype=np.int32)))
+        live = np.flatnonzero(known[starts + size] - known[starts] == size)
+        for column in range(size - 1, -1, -1):
+            s = ids[starts[live] + column]
             low[live] = self.first[s] + self.matrix.rank(s, low[live])
             high[live] = self.first[s] + self.matrix.rank(s, high[live])
             live = live[high[live] > low[live]]
             if not len(live):
                 break
-        none = np.ones(len(patterns), bool)
+        none = np.ones(len(starts), bool)
         none[live] = False
         high[none] = low[none]
         return low, high
@@ -123,22 +127,37 @@ class FMIndex:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items, by length, with the items that hold each."""
+    """The distinct windows of a block of benchmark items, by length, with the items that hold each. Windows are places in one
+    array of word numbers, and items are numbers, so that a block takes some twenty bytes a word besides its vocabulary."""
 
-    def __init__(self, items: list[tuple[str, str | None]], width: int = WIDTH):
+    def __init__(self, items: Iterable[tuple[str, str | None]], width: int = WIDTH):
         self.number: dict[bytes, int] = {}
-        holders: dict[tuple, set] = {}
+        of: dict[str, int] = {}
+        parts, lengths, owners = [], [], []
         for name, text in items:
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in split_words(text)]
-            for i in range(max(1, len(ids) - width + 1) if ids else 0):
-                holders.setdefault(tuple(ids[i : i + width]), set()).add(name)
+            words = split_words(text)
+            if words:
+                parts.append(np.fromiter((self.number.setdefault(w, len(self.number) + 1) for w in words), np.int32, len(words)))
+                lengths.append(len(words))
+                owners.append(of.setdefault(name, len(of)))
+        self.names, self.ids = list(of), np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.bits = max(1, len(self.number).bit_length())
-        self.groups = []
-        for size in sorted({len(w) for w in holders}):
-            own = sorted(w for w in holders if len(w) == size)
-            self.groups.append((size, np.array(own, np.int64), [sorted(holders[w]) for w in own]))
+        n, owner = np.array(lengths, np.int64), np.array(owners, np.int64)
+        first, sizes = np.cumsum(n) - n, np.minimum(n, width)
+        self.groups = [(size, *self._distinct(first[sizes == size], n[sizes == size] - size + 1, owner[sizes == size], size)) for size in np.unique(sizes).tolist()]
         self.least = self.groups[0][0] if self.groups else 0
 
+    def _distinct(self, first: np.ndarray, count: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(a start of each distinct window, offsets into holders, holders) of `count` windows from each first place."""
+        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
+        same = self.ids[starts].astype(np.int64)
+        for k in range(1, size):  # numbers of equal beginnings, longer by a word each time
+            same = np.unique(same * (len(self.number) + 1) + self.ids[starts + k], return_inverse=True)[1]
+        _, one, same = np.unique(same, return_index=True, return_inverse=True)
+        held = np.unique(same * len(self.names) + np.repeat(owner, count))
+        offsets = np.searchsorted(held // len(self.names), np.arange(len(one) + 1))
+        return starts[one].astype(np.int32), offsets, (held % len(self.names)).astype(np.int32)
+
     def runs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(symbols, places) of runs of known words, at least as long as the shortest window; each run ends with a zero."""
         get = self.number.get
@@ -163,8 +182,8 @@ class Windows:
         doc = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
         place = np.concatenate([p[2] for p in parts])
         index = FMIndex(text, self.bits)
-        for size, patterns, holders in self.groups:
-            low, high = index.search(patterns)
+        for size, starts, offsets, holders in self.groups:
+            low, high = index.search(self.ids, starts, size)
             hit = np.flatnonzero(high > low)
             if not len(hit):
                 continue
@@ -174,8 +193,8 @@ class Windows:
             for p, w in zip(at.tolist(), np.repeat(hit, count).tolist(), strict=True):
                 spans, items = out[doc[p]]
                 spans.append((int(place[p]), int(place[p]) + size))
-                items.update(holders[w])
-        return [(merge(spans), items) for spans, items in out]
+                items.update(holders[offsets[w] : offsets[w + 1]].tolist())
+        return [(merge(spans), {self.names[i] for i in items}) for spans, items in out]
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -204,7 +223,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, kee
     blocks = _blocks(benchmark.select("item_id", "text"), block_chars)
     for i, block in enumerate(blocks):
         rows = block.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text").collect()
-        shared = spark.sparkContext.broadcast(Windows([(r.i, r.text) for r in rows], width))  # at most block_chars
+        shared = spark.sparkContext.broadcast(Windows(((r.i, r.text) for r in rows), width))  # at most block_chars
 
         def make(shared=shared, last=i == len(blocks) - 1):
             windows = shared.value
@@ -241,7 +260,7 @@ def contaminated_column(docs: DataFrame, benchmark: DataFrame, width: int = WIDT
     small_batches(docs.sparkSession)
     for block in _blocks(benchmark.select("item_id", "text"), block_chars):
         rows = block.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text").collect()
-        shared = docs.sparkSession.sparkContext.broadcast(Windows([(r.i, r.text) for r in rows], width))  # at most block_chars
+        shared = docs.sparkSession.sparkContext.broadcast(Windows(((r.i, r.text) for r in rows), width))  # at most block_chars
 
         def run(texts: pd.Series, shared=shared) -> pd.Series:
             hit, done, texts = [], 0, texts.tolist()
